@@ -14,13 +14,15 @@ the accepted rows, the quarantine and the summary.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_, or_
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapstrata.functions import derive
-from snapstrata.functions.rules import Rule, any_of
+from snapstrata.functions.rules import Rule
 
 FIRST_SEQ = "_primeira_seq"
 COPIES = "_n_hash"
@@ -32,10 +34,6 @@ PACKED = "_bruto"
 Stage = Callable[[DataFrame], DataFrame]
 
 
-def _as_is(df: DataFrame) -> DataFrame:
-    return df
-
-
 class Split(NamedTuple):
     accepted: DataFrame
     quarantined: DataFrame
@@ -147,9 +145,9 @@ def codes(rules: Sequence[Rule]) -> Column:
 
 
 def evaluate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """One boolean per rule (NULL counts as not violated) and the blocked mark."""
-    flags = {r.flag: F.coalesce(r.violated, F.lit(False)) for r in rules}
-    blocked = any_of([F.col(r.flag) for r in rules if r.blocks] or [F.lit(False)])
+    """One boolean per rule, never NULL, and the blocked mark."""
+    flags = {r.flag: r.violated for r in rules}
+    blocked = reduce(or_, [F.col(r.flag) for r in rules if r.blocks], F.lit(False))
     return df.withColumns(flags).withColumn(BLOCKED, blocked)
 
 
@@ -174,6 +172,11 @@ def split(evaluated: DataFrame) -> Split:
     return Split(evaluated.where(~F.col(BLOCKED)), evaluated.where(F.col(BLOCKED)), evaluated)
 
 
+def unblocked(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """The rows no blocking rule rejects, by the conditions themselves instead of the stored mark."""
+    return df.where(reduce(and_, [r.kept for r in rules if r.blocks], F.lit(True)))
+
+
 def run(
     typed: DataFrame,
     rules: Sequence[Rule],
@@ -182,19 +185,23 @@ def run(
     seq: str,
     content: Sequence[str],
     within: Sequence[str] = (),
-    stage: Stage = _as_is,
+    stage: Stage | None = None,
 ) -> Split:
     """Adds what the rules need, evaluates them, and splits. No action runs here but those of ``stage``.
 
     ``typed`` carries the ``packed`` raw row. Copies are counted over all rows, blocked ones
     included; so is the first occurrence, which blocks later ones even when it is itself blocked.
     """
+    store = stage or (lambda df: df)
     hashed = typed.withColumn(CONTENT_HASH, content_hash(content))
-    keys = stage(repeated_keys(typed, key, seq, within=within))
-    copies = stage(repeated_content(hashed, CONTENT_HASH, within=within))
+    keys = store(repeated_keys(typed, key, seq, within=within))
+    copies = store(repeated_content(hashed, CONTENT_HASH, within=within))
     counted = clone_count(hashed, CONTENT_HASH, within=within, lookup=copies)
     ready = first_occurrence(counted, key, seq, within=within, lookup=keys)
-    return split(stage(with_original(evaluate(ready, rules))))
+    parts = split(store(with_original(evaluate(ready, rules))))
+    if stage is not None:
+        return parts
+    return parts._replace(accepted=with_original(evaluate(unblocked(ready, rules), rules)))
 
 
 def summarise(evaluated: DataFrame, rules: Sequence[Rule], *, by: Sequence[str] = ()) -> DataFrame:

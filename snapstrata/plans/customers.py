@@ -182,10 +182,10 @@ def ruleset(params: Parameters = PARAMETERS) -> list[Rule]:
     day = F.col(DAY)
     review = "SINALIZAR"
 
-    def blocking(code: str, text: str, violated: Column) -> Rule:
+    def blocking(code: str, text: str, violated: list[Column]) -> Rule:
         return Rule(code, text, BLOCKING, "QUARENTENA", violated)
 
-    def alert(code: str, text: str, violated: Column, action: str = review) -> Rule:
+    def alert(code: str, text: str, violated: list[Column], action: str = review) -> Rule:
         return Rule(code, text, ALERT, action, violated)
 
     birth_range = rules.in_range("ano_nascimento", params.integer("ano_nascimento_min"), F.year(day))
@@ -256,12 +256,12 @@ def evaluate(
     raw: DataFrame,
     params: Parameters = PARAMETERS,
     *,
-    stage: Callable[[DataFrame], DataFrame] = stored,
+    stage: Callable[[DataFrame], DataFrame] | None = stored,
 ) -> quality.Split:
     """Typing, rules and split of the rows of one or several loads, each load by itself.
 
     ``raw`` is read three times, so it should be a stored table. Without staging
-    (``stage=lambda df: df``) everything stays one lazy plan: right for a query that needs a few
+    (``stage=None``) everything stays one lazy plan: right for a query that needs a few
     columns of the accepted rows, as unused rules and the copy count then drop out of it.
     """
     return quality.run(

@@ -25,10 +25,6 @@ DAY = ingest.LOAD_DAY
 VERSIONS = preset.VERSIONS
 
 
-def lazy(df: DataFrame) -> DataFrame:
-    return df
-
-
 def plain(df: DataFrame, *columns: str | Column, rename: dict[str, str] | None = None) -> DataFrame:
     """The result columns with plain types; the load date is called ``dia``."""
     picked = df.select(*columns) if columns else df
@@ -73,7 +69,7 @@ MEASURES = [
 def silver(spark: SparkSession, folder: str, days: Sequence[date] = (LATEST,), columns: Sequence[str] = MEASURES) -> DataFrame:
     """Accepted rows as one lazy plan: without alert codes the copy count is not computed at all."""
     raw = binding.customer_snapshots(spark, folder, days)
-    return preset.accepted(preset.evaluate(raw, stage=lazy)).select(*columns)
+    return preset.accepted(preset.evaluate(raw, stage=None)).select(*columns)
 
 
 def history(spark: SparkSession, folder: str, days: Sequence[date] = tuple(DAYS)) -> DataFrame:
@@ -159,7 +155,7 @@ def quality_gate(spark, folder):
     parts = []
     for name, defects in (("normal", Defects()), ("suja", Defects().dirtier())):
         raw = binding.customer_snapshots(spark, folder, (LATEST,), defects)
-        flagged = preset.evaluate(raw, stage=lazy).evaluated
+        flagged = preset.evaluate(raw, stage=None).evaluated
         gated = quality.gate(quality.summarise(flagged, rules), limit)
         parts.append(gated.select(F.lit(name).alias("carga"), "total", "bloqueadas", "pct_rejeicao", "aprovada"))
     return rounded(plain(parts[0].unionByName(parts[1])), "pct_rejeicao")
@@ -456,7 +452,7 @@ def dictionary_coverage(spark, folder):
 def _check_inputs(spark, folder):
     clean_all = history(spark, folder)
     raw = scratch.stored(binding.customer_snapshots(spark, folder), "bronze")
-    rejected = preset.evaluate(raw, stage=lazy).evaluated.where(F.col(quality.BLOCKED))
+    rejected = preset.evaluate(raw, stage=None).evaluated.where(F.col(quality.BLOCKED))
     dim = scratch.stored(versions(clean_all), "dim_cliente")
     base = scratch.stored(preset.with_version(of_day(clean_all), dim), "base_fatos")
     return clean_all, raw, rejected, dim, base
