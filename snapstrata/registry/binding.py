@@ -139,11 +139,12 @@ def customer_snapshots(
         .join(orders.select("o_orderkey", "_cliente", "_corte"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, folder, "part").select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
     )
-    price = F.col("l_extendedprice").cast("decimal(18,2)")
+    # Whole cents add up exactly and fast; a decimal sum over every line would not be.
+    cents = F.rint(F.col("l_extendedprice") * 100).cast("bigint")
     spend = _by_cut(
         lines,
         {
-            **{c: ("sum", F.when(F.col("p_type") == t, price)) for c, t in zip(preset.SPEND, P_TYPES)},
+            **{c: ("sum", F.when(F.col("p_type") == t, cents)) for c, t in zip(preset.SPEND, P_TYPES)},
             "_desconto": ("count", F.when(F.col("l_discount") > 0, 1)),
         },
         len(days),
@@ -190,9 +191,7 @@ def _as_text(facts: DataFrame, defects: Defects) -> DataFrame:
     key = F.col("_cliente")
     day = F.col(ingest.LOAD_DAY)
 
-    def hit(rule: str) -> Column:
-        divisor, remainder = defects.where[rule]
-        return key % divisor == remainder
+    hit = {rule: key % divisor == remainder for rule, (divisor, remainder) in defects.where.items()}
 
     def text(value: Column) -> Column:
         return value.cast("string")
@@ -200,6 +199,9 @@ def _as_text(facts: DataFrame, defects: Defects) -> DataFrame:
     def count(column: str) -> Column:
         return text(F.coalesce(F.col(column), F.lit(0)))
 
+    def money(column: str) -> Column:
+        return text((F.coalesce(F.col(column), F.lit(0)).cast("decimal(18,0)") / 100).cast("decimal(18,2)"))
+
     salary = text(F.abs("c_acctbal").cast("decimal(12,2)"))
     levels = [x for s, e in zip(SEGMENTS, preset.EDUCATION_ORDER) for x in (F.lit(s), F.lit(e))]
     marital = F.array(*[F.lit(m) for m in preset.MARITAL_STATUS])
@@ -215,7 +217,7 @@ def _as_text(facts: DataFrame, defects: Defects) -> DataFrame:
         "qtd_adolescentes": text(key % 3),
         "data_cadastro": F.date_format("_primeiro", "d/M/yyyy"),
         "dias_desde_ultima_compra": text(F.date_diff(day, F.col("_ultimo"))),
-        **{c: text(F.coalesce(F.col(c), F.lit(0)).cast("decimal(18,2)")) for c in preset.SPEND},
+        **{c: money(c) for c in preset.SPEND},
         "qtd_compras_desconto": count("_desconto"),
         **{c: count(c) for c in preset.CHANNEL_COUNTS},
         "visitas_website_mes": count("_visitas"),
@@ -236,13 +238,13 @@ def _as_text(facts: DataFrame, defects: Defects) -> DataFrame:
     }
 
     def content(column: str) -> Column:
-        out = F.when(hit("A004"), F.lit(TWIN_ROW[column]))
+        out = F.when(hit["A004"], F.lit(TWIN_ROW[column]))
         for rule, value in broken.get(column, []):
-            out = out.when(hit(rule), value)
+            out = out.when(hit[rule], value)
         return out.otherwise(normal[column]).alias(column)
 
-    copies = F.when(hit("R002"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    identity = F.when(hit("R001"), F.concat(F.lit("X"), text(key))).otherwise(text(key))
+    copies = F.when(hit["R002"], F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    identity = F.when(hit["R001"], F.concat(F.lit("X"), text(key))).otherwise(text(key))
     columns = [identity.alias(c) if c == "id_cliente" else content(c) for c in preset.COLUMNS]
     return facts.select(*columns, ingest.LOAD_DAY, key.alias("_k"), F.explode(copies).alias("_copia")).select(
         *preset.COLUMNS, ingest.LOAD_DAY, (F.col("_k") * 2 + F.col("_copia")).alias(ingest.ROW_SEQ)

@@ -450,12 +450,13 @@ def dictionary_coverage(spark, folder):
 
 # ---------------------------------------------------------------------------- checks
 def _check_inputs(spark, folder):
-    clean_all = history(spark, folder)
-    raw = scratch.stored(binding.customer_snapshots(spark, folder), "bronze")
-    rejected = preset.evaluate(raw, stage=None).evaluated.where(F.col(quality.BLOCKED))
-    dim = scratch.stored(versions(clean_all), "dim_cliente")
-    base = scratch.stored(preset.with_version(of_day(clean_all), dim), "base_fatos")
-    return clean_all, raw, rejected, dim, base
+    """The layers as tables, each built from the one before: text rows, accepted rows, versions, fact base."""
+    raw = bronze(spark, folder, DAYS)
+    split = preset.evaluate(raw, stage=None)
+    clean = scratch.stored(preset.accepted(split).select(*MEASURES), "silver")
+    dim = scratch.stored(versions(clean), "dim_cliente")
+    base = scratch.stored(preset.with_version(of_day(clean), dim), "base_fatos")
+    return clean, of_day(raw), of_day(split.quarantined), dim, base
 
 
 def _dims(spark, clean: DataFrame, dim: DataFrame) -> dict[str, tuple[DataFrame, str]]:
