@@ -186,15 +186,18 @@ def run(
     content: Sequence[str],
     within: Sequence[str] = (),
     stage: Stage | None = None,
+    keys: DataFrame | None = None,
 ) -> Split:
     """Adds what the rules need, evaluates them, and splits. No action runs here but those of ``stage``.
 
     ``typed`` carries the ``packed`` raw row. Copies are counted over all rows, blocked ones
     included; so is the first occurrence, which blocks later ones even when it is itself blocked.
+    ``keys`` is a stored ``repeated_keys``, for a plan that is lazy but for that lookup.
     """
     store = stage or (lambda df: df)
     hashed = typed.withColumn(CONTENT_HASH, content_hash(content))
-    keys = store(repeated_keys(typed, key, seq, within=within))
+    if keys is None:
+        keys = store(repeated_keys(typed, key, seq, within=within))
     copies = store(repeated_content(hashed, CONTENT_HASH, within=within))
     counted = clone_count(hashed, CONTENT_HASH, within=within, lookup=copies)
     ready = first_occurrence(counted, key, seq, within=within, lookup=keys)

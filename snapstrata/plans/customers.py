@@ -257,12 +257,14 @@ def evaluate(
     params: Parameters = PARAMETERS,
     *,
     stage: Callable[[DataFrame], DataFrame] | None = stored,
+    keys: DataFrame | None = None,
 ) -> quality.Split:
     """Typing, rules and split of the rows of one or several loads, each load by itself.
 
     ``raw`` is read three times, so it should be a stored table. Without staging
     (``stage=None``) everything stays one lazy plan: right for a query that needs a few
-    columns of the accepted rows, as unused rules and the copy count then drop out of it.
+    columns of the accepted rows, as unused rules and the copy count then drop out of it. Passing
+    stored ``repeated_ids`` as ``keys`` spares such a plan the shuffle of its rows by id.
     """
     return quality.run(
         typed(raw, params),
@@ -272,9 +274,15 @@ def evaluate(
         content=CONTENT,
         within=[DAY],
         stage=stage,
+        keys=keys,
     )
 
 
+def repeated_ids(raw: DataFrame, params: Parameters = PARAMETERS) -> DataFrame:
+    """Customer ids that occur more than once in a load; reads two columns of the text rows."""
+    return quality.repeated_keys(typed(raw, params), "id_cliente", SEQ, within=[DAY])
+
+
 def accepted(split: quality.Split, params: Parameters = PARAMETERS) -> DataFrame:
     """Rows without a blocking violation: labels for missing members, totals, alert codes."""
     rule_list = ruleset(params)

@@ -88,36 +88,51 @@ def kpi(snapshot: DataFrame) -> DataFrame:
     )
 
 
-def star(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
-    """Fact with one dimension. Left to the optimizer, which broadcasts a dimension that is small."""
-    return fact.join(dim, key, "inner")
+def _per_label(
+    fact: DataFrame, value: str, label: str, dim: DataFrame | None, key: str | None, more: Sequence[str] = ()
+) -> DataFrame:
+    """Rows and sum per label, with or without a dimension that has it.
+
+    The fact is aggregated by dimension key before the join, so what is shuffled and joined has a
+    row per member: a member with a third of all rows costs no more than the others, and it does
+    not matter whether the dimension is broadcast.
+    """
+    measures = {"_n": F.count(F.lit(1)), "_soma": F.sum(value)}
+    if dim is None:
+        return fact.groupBy(F.col(label).alias(LABEL)).agg(*[m.alias(n) for n, m in measures.items()])
+    per_key = fact.groupBy(key).agg(*[m.alias(n) for n, m in measures.items()])
+    return per_key.join(dim, key, "inner").groupBy(F.col(label).alias(LABEL), *more).agg(
+        F.sum("_n").alias("_n"), F.sum("_soma").alias("_soma")
+    )
 
 
-def sum_by(fact: DataFrame, label: str, value: str) -> DataFrame:
-    return fact.groupBy(F.col(label).alias(LABEL)).agg(F.sum(value).alias("valor"))
+def _mean() -> Column:
+    return F.col("_soma").cast("double") / F.col("_n")
 
 
-def rate_by(fact: DataFrame, label: str, flag: str) -> DataFrame:
-    """Mean and sum of a 0/1 measure."""
-    return fact.groupBy(F.col(label).alias(LABEL)).agg(F.avg(flag).alias("valor"), F.sum(flag).alias("n"))
+def sum_by(fact: DataFrame, value: str, label: str, *, dim: DataFrame | None = None, key: str | None = None) -> DataFrame:
+    return _per_label(fact, value, label, dim, key).select(LABEL, F.col("_soma").alias("valor"))
 
 
-def count_by(fact: DataFrame, label: str, value: str) -> DataFrame:
-    return fact.groupBy(F.col(label).alias(LABEL)).agg(
-        F.count(F.lit(1)).alias("valor"), F.sum(value).alias("gasto")
-    )
+def rate_by(fact: DataFrame, flag: str, label: str, *, dim: DataFrame | None = None, key: str | None = None) -> DataFrame:
+    """Mean and sum of a 0/1 measure that is never missing."""
+    return _per_label(fact, flag, label, dim, key).select(LABEL, _mean().alias("valor"), F.col("_soma").alias("n"))
 
 
-def mean_by(fact: DataFrame, label: str, value: str, *more: str) -> DataFrame:
-    """Count and mean per label (and per further columns that go with it)."""
-    return fact.groupBy(F.col(label).alias(LABEL), *more).agg(
-        F.count(F.lit(1)).alias("n"), F.avg(F.col(value).cast("double")).alias("valor")
-    )
+def count_by(fact: DataFrame, value: str, label: str, *, dim: DataFrame | None = None, key: str | None = None) -> DataFrame:
+    return _per_label(fact, value, label, dim, key).select(LABEL, F.col("_n").alias("valor"), F.col("_soma").alias("gasto"))
+
+
+def mean_by(
+    fact: DataFrame, value: str, label: str, *more: str, dim: DataFrame | None = None, key: str | None = None
+) -> DataFrame:
+    """Count and mean per label, and per further dimension columns that go with it."""
+    return _per_label(fact, value, label, dim, key, more).select(LABEL, *more, F.col("_n").alias("n"), _mean().alias("valor"))
 
 
 def by_version_attr(fact: DataFrame, dim: DataFrame, attribute: str, value: str, *, key: str) -> DataFrame:
     """Count and mean per attribute of the version each fact row points to."""
-    return mean_by(fact.join(dim.select(key, attribute), key, "inner"), attribute, value)
+    return mean_by(fact, value, attribute, dim=dim.select(key, attribute), key=key)
 
 
 def share_of_total(aggregated: DataFrame, value: str) -> DataFrame:

@@ -67,9 +67,10 @@ MEASURES = [
 
 
 def silver(spark: SparkSession, folder: str, days: Sequence[date] = (LATEST,), columns: Sequence[str] = MEASURES) -> DataFrame:
-    """Accepted rows as one lazy plan: without alert codes the copy count is not computed at all."""
+    """Accepted rows, lazy but for the lookup of repeated ids; without alert codes no copy is counted."""
     raw = binding.customer_snapshots(spark, folder, days)
-    return preset.accepted(preset.evaluate(raw, stage=None)).select(*columns)
+    keys = scratch.stored(preset.repeated_ids(raw), "repetidos")
+    return preset.accepted(preset.evaluate(raw, stage=None, keys=keys)).select(*columns)
 
 
 def history(spark: SparkSession, folder: str, days: Sequence[date] = tuple(DAYS)) -> DataFrame:
@@ -86,8 +87,8 @@ def versions(clean: DataFrame) -> DataFrame:
 
 
 def versioned(clean: DataFrame, day: date = LATEST) -> DataFrame:
-    """One load with the keys of its customer versions."""
-    return preset.with_version(of_day(clean, day), versions(clean))
+    """One load with the keys of its customer versions, of which only those of that day are joined."""
+    return preset.with_version(of_day(clean, day), scd2.as_of(versions(clean), F.lit(day)))
 
 
 VERSION_COLUMNS = ["id_cliente", *preset.CARRIED, "hash_atributos", scd2.FROM, scd2.TO, scd2.CURRENT]
@@ -320,26 +321,26 @@ def kpi_delta(spark, folder):
 
 def category_share(spark, folder):
     fact = preset.category_fact(versioned(history(spark, folder)))
-    totals = report.sum_by(report.star(fact, preset.category_dim(spark), "sk_categoria"), "categoria", "valor_gasto")
+    totals = report.sum_by(fact, "valor_gasto", "categoria", dim=preset.category_dim(spark), key="sk_categoria")
     return rounded(plain(report.share_of_total(totals, "valor")), "fracao")
 
 
 def channel_share(spark, folder):
     fact = preset.channel_fact(versioned(history(spark, folder)))
-    totals = report.sum_by(report.star(fact, preset.channel_dim(spark), "sk_canal"), "canal", "qtd_compras")
+    totals = report.sum_by(fact, "qtd_compras", "canal", dim=preset.channel_dim(spark), key="sk_canal")
     return rounded(plain(report.share_of_total(totals, "valor")), "fracao")
 
 
 def campaign_rate(spark, folder):
     fact = preset.campaign_fact(versioned(history(spark, folder)))
-    rates = report.rate_by(report.star(fact, preset.campaign_dim(spark), "sk_campanha"), "campanha", "aceitou")
+    rates = report.rate_by(fact, "aceitou", "campanha", dim=preset.campaign_dim(spark), key="sk_campanha")
     return rounded(rates, "valor").orderBy("rotulo")
 
 
 def country_spend(spark, folder):
     clean = history(spark, folder)
     fact = preset.snapshot_fact(versioned(clean))
-    return plain(report.count_by(report.star(fact, preset.country_dim(clean), "sk_pais"), "pais", "total_gasto"))
+    return plain(report.count_by(fact, "total_gasto", "pais", dim=preset.country_dim(clean), key="sk_pais"))
 
 
 def income_band(spark, folder):
@@ -353,14 +354,16 @@ def income_band(spark, folder):
 def age_band(spark, folder):
     fact = preset.snapshot_fact(versioned(history(spark, folder)))
     order = [*[label for _, label in preset.AGE_BANDS], preset.AGE_ABOVE, preset.NOT_GIVEN]
-    return rounded(report.order_by_domain(report.mean_by(fact, "faixa_etaria", "total_gasto"), report.LABEL, order), "valor")
+    return rounded(report.order_by_domain(report.mean_by(fact, "total_gasto", "faixa_etaria"), report.LABEL, order), "valor")
 
 
 def education_level(spark, folder):
     clean = history(spark, folder)
     fact = preset.snapshot_fact(versioned(clean))
-    joined = report.star(fact, preset.education_dim(clean), "sk_escolaridade")
-    return rounded(report.mean_by(joined, "escolaridade", "total_gasto", "nivel_ordem"), "valor").orderBy("nivel_ordem")
+    levels = report.mean_by(
+        fact, "total_gasto", "escolaridade", "nivel_ordem", dim=preset.education_dim(clean), key="sk_escolaridade"
+    )
+    return rounded(levels, "valor").orderBy("nivel_ordem")
 
 
 def scd_stats(spark, folder):

@@ -22,10 +22,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/snapstrata/{name}-{uuid.uuid4().hex}"
+    """A folder of its own under the application's; the application's can be removed when it is done."""
+    return f"{shared_folder(spark)}/snapstrata/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str = "etapa", *, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def stored(df: DataFrame, name: str = "etapa") -> DataFrame:
     """Writes the frame once and reads it back.
 
     Used where a result feeds several others. Unlike a cache it survives executors; unlike a
@@ -34,5 +35,5 @@ def stored(df: DataFrame, name: str = "etapa", *, partition_by: tuple[str, ...]
     """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.partitionBy(*partition_by).parquet(path)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
