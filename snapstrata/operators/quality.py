@@ -14,9 +14,8 @@ the accepted rows, the quarantine and the summary.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
+from functools import cached_property, reduce
 from operator import and_, or_
-from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,10 +33,24 @@ PACKED = "_bruto"
 Stage = Callable[[DataFrame], DataFrame]
 
 
-class Split(NamedTuple):
-    accepted: DataFrame
-    quarantined: DataFrame
-    evaluated: DataFrame
+class Split:
+    """Accepted rows, quarantined rows, and all rows with their flags; each is planned when asked for."""
+
+    def __init__(self, evaluated: Callable[[], DataFrame], accepted: Callable[[], DataFrame] | None = None):
+        self._evaluated = evaluated
+        self._accepted = accepted
+
+    @cached_property
+    def evaluated(self) -> DataFrame:
+        return self._evaluated()
+
+    @cached_property
+    def accepted(self) -> DataFrame:
+        return self._accepted() if self._accepted else self.evaluated.where(~F.col(BLOCKED))
+
+    @cached_property
+    def quarantined(self) -> DataFrame:
+        return self.evaluated.where(F.col(BLOCKED))
 
 
 def repeated_keys(df: DataFrame, key: str, seq: str, *, within: Sequence[str] = ()) -> DataFrame:
@@ -168,8 +181,8 @@ def nullify(column: str, rule: Rule) -> Column:
 
 
 def split(evaluated: DataFrame) -> Split:
-    """Rows without a blocking violation, rows with one, and both with all flags."""
-    return Split(evaluated.where(~F.col(BLOCKED)), evaluated.where(F.col(BLOCKED)), evaluated)
+    """Splits a frame that carries the blocked mark."""
+    return Split(lambda: evaluated)
 
 
 def unblocked(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -201,10 +214,12 @@ def run(
     copies = store(repeated_content(hashed, CONTENT_HASH, within=within))
     counted = clone_count(hashed, CONTENT_HASH, within=within, lookup=copies)
     ready = first_occurrence(counted, key, seq, within=within, lookup=keys)
-    parts = split(store(with_original(evaluate(ready, rules))))
     if stage is not None:
-        return parts
-    return parts._replace(accepted=with_original(evaluate(unblocked(ready, rules), rules)))
+        return split(stage(with_original(evaluate(ready, rules))))
+    return Split(
+        lambda: with_original(evaluate(ready, rules)),
+        lambda: with_original(evaluate(unblocked(ready, rules), rules)),
+    )
 
 
 def summarise(evaluated: DataFrame, rules: Sequence[Rule], *, by: Sequence[str] = ()) -> DataFrame:
