@@ -40,19 +40,25 @@ class Warehouse:
         return f"{self.root}/{table}"
 
     # ------------------------------------------------------------------ planning
-    def candidates(self, folder: str) -> DataFrame:
-        """Valid files of the landing folder with their fingerprints, all files in one pass."""
-        extension = self.params.text("arquivo_extensao")
+    def candidates(self, folder: str, skip: DataFrame | None = None) -> DataFrame:
+        """Valid files of the landing folder with the fingerprints of their lines.
+
+        ``skip`` has dates (``data_carga``) that need no look, such as those loaded with success;
+        their files are not read. The names of the others, one per delivery, pass through the driver.
+        """
         found = loads.manifest(
             loads.discover(self.spark, folder),
             prefix=self.params.text("arquivo_prefixo"),
-            extension=extension,
+            extension=self.params.text("arquivo_extensao"),
         ).where("nome_valido")
-        lines = self.spark.read.option("recursiveFileLookup", "false").text(folder).select(
-            "value", F.col("_metadata.file_name").alias("arquivo")
-        )
+        if skip is not None:
+            found = found.join(skip.select(loads.DAY), loads.DAY, "left_anti")
+        files = [r["caminho"] for r in found.select("caminho").toLocalIterator()]
+        if not files:
+            return found.drop("nome_valido").withColumn(loads.FINGERPRINT, F.lit(None).cast("string"))
+        lines = self.spark.read.text(files).select("value", F.col("_metadata.file_name").alias("arquivo"))
         prints = loads.fingerprint(lines, ["value"], by=["arquivo"])
-        return found.join(prints, "arquivo").drop("nome_valido")
+        return found.join(prints, "arquivo", "left").drop("nome_valido")
 
     def badly_named(self, folder: str) -> DataFrame:
         extension = self.params.text("arquivo_extensao")

@@ -90,6 +90,9 @@ def test_folder_to_plan(spark, warehouse, tmp_path):
     found = warehouse.candidates(str(tmp_path))
     print_of = found.where(F.col("data_carga") == D1).first()["impressao"]
     known = spark.createDataFrame([(D1, "SUCESSO", 1, print_of)], "data_carga date, status string, tentativas int, impressao string")
+    done = known.where("status = 'SUCESSO'")
+    assert [r["data_carga"] for r in warehouse.candidates(str(tmp_path), done).collect()] == [D2]
+    assert warehouse.candidates(str(tmp_path), found).count() == 0
     rows = {r["data_carga"]: r for r in loads.plan(found, known, loads.Request()).collect()}
     assert rows[D1]["decisao"] == "pular"
     assert (rows[D2]["decisao"], rows[D2]["copia_de"], rows[D2]["avisos"]) == ("planejar", D1, ["ARQUIVO_CONTEUDO_DUPLICADO"])
