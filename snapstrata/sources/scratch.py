@@ -10,15 +10,20 @@ from pyspark.sql import DataFrame, SparkSession
 SETTING = "spark.checkpoint.dir"
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's checkpoint folder. Only a local session without one gets a temporary folder."""
-    folder = spark.conf.get(SETTING, None)
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {SETTING} to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="snapstrata-")
-        spark.conf.set(SETTING, folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get(SETTING, None) or context.getCheckpointDir()
+    if folder:
+        return folder
+    if not context.master.startswith("local"):
+        raise RuntimeError(f"set {SETTING} to a folder that all executors share")
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="snapstrata-")
+    return _local_folders[context.applicationId]
 
 
 def new_path(spark: SparkSession, name: str) -> str:

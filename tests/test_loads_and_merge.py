@@ -184,5 +184,20 @@ def test_order_by_domain_puts_unknown_last(spark):
     assert [r[0] for r in report.order_by_domain(df, "etapa", preset.STAGE_ORDER).collect()] == ["bronze", "silver", "?"]
 
 
-def test_shared_folder_is_the_one_the_session_names(spark):
-    assert scratch.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+class Session:
+    """Just enough of a session to ask for its folder."""
+
+    def __init__(self, master, folder):
+        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+        self.sparkContext = self
+        self.master, self.applicationId = master, f"app-{master}"
+
+    def getCheckpointDir(self):
+        return None
+
+
+def test_shared_folder(spark):
+    assert scratch.shared_folder(Session("yarn", "hdfs:///c")) == "hdfs:///c"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch.shared_folder(Session("yarn", None))
+    assert scratch.shared_folder(spark) == scratch.shared_folder(spark)
