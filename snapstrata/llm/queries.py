@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapstrata.llm import license_scan, url_filters
+from snapstrata.llm import license_scan, quality_outliers, quality_ranking, url_filters
 from snapstrata.llm.common import documents
 
 
@@ -14,12 +14,23 @@ def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scan(documents(spark, folder))
 
 
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_outliers.judged(documents(spark, folder))
+
+
+def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    return quality_ranking.scored(docs, quality_ranking.fitted(docs, spark.read.parquet(f"{folder}/labels.parquet")))
+
+
 def op8_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return url_filters.judged(spark.read.parquet(f"{folder}/pages.parquet"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
+    "op6_quality_rules": op6_quality_rules,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_url_filters": op8_url_filters,
 }
 
