@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapstrata.llm import license_scan, quality_outliers, quality_ranking, url_filters
+from snapstrata.llm import fingerprints, license_scan, quality_outliers, quality_ranking, quotation_links, url_filters
 from snapstrata.llm.common import documents
 
 
@@ -14,6 +14,16 @@ def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scan(documents(spark, folder))
 
 
+def op2_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprinted(documents(spark, folder))
+
+
+def op3_quotation_links(spark: SparkSession, folder: str) -> DataFrame:
+    """The table's conversations hold no quotes, so their turns are first written as mail with quoted answers."""
+    mail = quotation_links.as_mail(spark.read.parquet(f"{folder}/conversations.parquet"))
+    return quotation_links.linked(mail)
+
+
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_outliers.judged(documents(spark, folder))
 
@@ -29,6 +39,8 @@ def op8_url_filters(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
+    "op2_fingerprints": op2_fingerprints,
+    "op3_quotation_links": op3_quotation_links,
     "op6_quality_rules": op6_quality_rules,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_url_filters": op8_url_filters,
@@ -40,6 +52,44 @@ def _values(rows) -> str:
 
 
 SQL: dict[str, str] = {
+    # Every turn is known to quote the lines of the turn it answers, and one line of what that one answers.
+    "op3_quotation_links": r"""
+WITH RECURSIVE said AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text,
+         CASE WHEN turn % 5 = 4 THEN turn - 2 ELSE turn - 1 END AS answers
+  FROM conversations),
+turns AS (SELECT conv_id, turn, min(text) AS text, min(answers) AS answers FROM said GROUP BY ALL),
+own AS (
+  SELECT conv_id, turn, lower(trim(regexp_replace(line, '\s+', ' ', 'g'))) AS line
+  FROM (SELECT DISTINCT conv_id, turn, unnest(string_split(text, chr(10))) AS line FROM said)),
+first AS (SELECT conv_id, line, min(turn) AS first FROM own WHERE line <> '' GROUP BY ALL),
+near AS (
+  SELECT t.conv_id, t.turn, 1 AS level, unnest(string_split(a.text, chr(10))) AS line
+  FROM turns t JOIN turns a ON a.conv_id = t.conv_id AND a.turn = t.answers),
+far AS (
+  SELECT t.conv_id, t.turn, 2 AS level, string_split(b.text, chr(10))[1] AS line
+  FROM turns t JOIN turns a ON a.conv_id = t.conv_id AND a.turn = t.answers
+  JOIN turns b ON b.conv_id = a.conv_id AND b.turn = a.answers),
+quotes AS (
+  SELECT conv_id, turn, line, min(level) AS level
+  FROM (SELECT conv_id, turn, level, lower(trim(regexp_replace(line, '\s+', ' ', 'g'))) AS line
+        FROM (SELECT * FROM near UNION ALL SELECT * FROM far))
+  WHERE line <> '' GROUP BY ALL),
+linked AS (
+  SELECT q.*, CASE WHEN f.first < q.turn THEN f.first END AS first
+  FROM quotes q LEFT JOIN first f USING (conv_id, line)),
+parents AS (
+  SELECT conv_id, turn, count(*) AS n_quotes, count(first) AS n_linked,
+         arg_min(first, level * 1000000000 - first) FILTER (WHERE first IS NOT NULL) AS parent_turn
+  FROM linked GROUP BY ALL),
+tree AS (
+  SELECT t.conv_id, t.turn, t.turn AS root_turn, 0 AS depth FROM turns t LEFT JOIN parents p USING (conv_id, turn)
+  WHERE p.parent_turn IS NULL
+  UNION ALL
+  SELECT p.conv_id, p.turn, tree.root_turn, tree.depth + 1 FROM parents p JOIN tree ON tree.conv_id = p.conv_id AND tree.turn = p.parent_turn)
+SELECT s.conv_id, s.turn, s.role, regexp_replace(s.text, '^\s+|\s+$', '', 'g') AS own_text,
+       coalesce(n_quotes, 0) AS n_quotes, coalesce(n_linked, 0) AS n_linked, parent_turn, root_turn, depth
+FROM said s LEFT JOIN parents USING (conv_id, turn) LEFT JOIN tree USING (conv_id, turn)""",
     "op8_url_filters": f"""
 WITH rules(text, action, expression, listed) AS (VALUES {_values((r.text, r.action, r.expression, r.listed) for r in url_filters.LISTED + url_filters.PATTERNS)}),
 pages_ AS (
