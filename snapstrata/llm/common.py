@@ -11,16 +11,20 @@ from pyspark.sql import functions as F
 
 from snapstrata.sources.scratch import stored
 
-__all__ = ["documents", "mapped", "mixed", "stored", "texts", "whole_words"]
-
-#: Splits words exactly at [\x20\x09-\x0D], as bytes.split() does.
-WORD = r"[^\x20\x09-\x0D]+"
+__all__ = ["documents", "mapped", "mixed", "stored", "texts", "vocabulary"]
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """Place of a public tokenizer's file, which every worker has installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def texts(docs: DataFrame, *more: str) -> DataFrame:
     """Identifier, text (null: empty) and named columns; other columns of the input may have any name."""
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *more)
@@ -43,10 +47,6 @@ def mapped(df: DataFrame, rows: Callable[[list, list], dict], schema: str, passe
     return df.mapInArrow(run, schema)
 
 
-def whole_words(text: bytes) -> list[bytes]:
-    return text.split()
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer: close inputs give unrelated outputs."""
     x = x ^ (x >> np.uint64(33))

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapstrata.llm import fingerprints, license_scan, quality_outliers, quality_ranking, quotation_links, url_filters
-from snapstrata.llm.common import documents
+from snapstrata.llm import bpe_lexicon, fingerprints, license_scan, packing, quality_outliers, quality_ranking, quotation_links, url_filters
+from snapstrata.llm.common import documents, vocabulary
 
 
 def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op3_quotation_links(spark: SparkSession, folder: str) -> DataFrame:
     return quotation_links.linked(mail)
 
 
+def op4_bpe_lexicon(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe_lexicon.encoded(documents(spark, folder), vocabulary("byte_bpe_50k.json"))
+
+
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_outliers.judged(documents(spark, folder))
 
@@ -37,13 +41,19 @@ def op8_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return url_filters.judged(spark.read.parquet(f"{folder}/pages.parquet"))
 
 
+def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(documents(spark, folder), vocabulary("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_fingerprints": op2_fingerprints,
     "op3_quotation_links": op3_quotation_links,
+    "op4_bpe_lexicon": op4_bpe_lexicon,
     "op6_quality_rules": op6_quality_rules,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_url_filters": op8_url_filters,
+    "op9_packing": op9_packing,
 }
 
 
