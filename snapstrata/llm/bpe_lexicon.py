@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 
 from snapstrata.llm.common import mapped, texts
 
-WHITE = r"\t-\r \x85\xa0  -     　"
+#: Unicode's white space, as a class of regular expressions.
+WHITE = r"\t-\r \x85\xa0" + "".join(map(chr, (0x1680, 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))) + chr(0x2000) + "-" + chr(0x200A)
 WORD = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapstrata.llm import bpe_lexicon, fingerprints, license_scan, packing, quality_outliers, quality_ranking, quotation_links, url_filters
+from snapstrata.llm import bpe_lexicon, fingerprints, license_scan, packing, quality_outliers, quality_ranking, quotation_links, substring_dedup, url_filters
 from snapstrata.llm.common import documents, vocabulary
 
 
@@ -45,6 +45,10 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(documents(spark, folder), vocabulary("word_bpe_49k.json"))
 
 
+def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.deduplicated(documents(spark, folder))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_fingerprints": op2_fingerprints,
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality_classifier": op7_quality_classifier,
     "op8_url_filters": op8_url_filters,
     "op9_packing": op9_packing,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 
