@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapstrata.llm import bpe_lexicon, fingerprints, license_scan, packing, quality_outliers, quality_ranking, quotation_links, substring_dedup, url_filters
+from snapstrata.llm import bpe_lexicon, fingerprints, license_scan, near_dedup, packing, quality_outliers, quality_ranking, quotation_links, substring_dedup, url_filters
 from snapstrata.llm.common import documents, vocabulary
 
 
@@ -28,6 +28,10 @@ def op4_bpe_lexicon(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_lexicon.encoded(documents(spark, folder), vocabulary("byte_bpe_50k.json"))
 
 
+def op5_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.classes(documents(spark, folder)).drop("row")
+
+
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_outliers.judged(documents(spark, folder))
 
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_fingerprints": op2_fingerprints,
     "op3_quotation_links": op3_quotation_links,
     "op4_bpe_lexicon": op4_bpe_lexicon,
+    "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_url_filters": op8_url_filters,
