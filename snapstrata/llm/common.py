@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from snapstrata.sources.scratch import stored
 
-__all__ = ["documents", "mapped", "mixed", "stored", "texts", "vocabulary"]
+__all__ = ["documents", "mapped", "mixed", "set_aside", "stored", "texts", "vocabulary"]
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -30,6 +30,14 @@ def texts(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *more)
 
 
+def set_aside(docs: DataFrame, *used: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """The documents with all columns but `used` under names that nothing else has, and how to get the columns back."""
+    names = docs.columns
+    others = {x: f"aside_{i}" for i, x in enumerate(names) if x not in used}
+    frame = docs.select(*used, *(F.col(f"`{x}`").alias(y) for x, y in others.items()))
+    return frame, lambda df: df.select(*(F.col(others.get(x, x)).alias(x) for x in names))
+
+
 def mapped(df: DataFrame, rows: Callable[[list, list], dict], schema: str, passed: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """`rows(texts as bytes, batch columns)` for each Arrow batch; `passed` columns go through unchanged.
 

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapstrata.llm.common import mixed, stored
+from snapstrata.llm.common import mixed, set_aside, stored
 from snapstrata.llm.components import components
 from snapstrata.llm.rolling import Hashes, Rolling, batches
 
@@ -252,10 +252,9 @@ def classes(docs: DataFrame) -> DataFrame:
 
 
 def kept(docs: DataFrame) -> DataFrame:
-    """The documents without all but one of each class: the one of smallest id; null ids stay."""
-    names = docs.columns
-    keyed = docs.withColumn("row", F.xxhash64(F.coalesce("text", F.lit(""))))
+    """The documents without all but one of each class: the one of smallest id. Rows equal in id and text count once; null ids stay."""
+    frame, back = set_aside(docs, "doc_id", "text")
+    keyed = frame.withColumn("row", F.xxhash64(F.coalesce("text", F.lit(""))))
     first = classes(docs).groupBy("class_id").agg(F.min(F.struct("doc_id", "row")).alias("at")).select("at.doc_id", "at.row")
-    # Rows that are equal in id and text count once.
-    kept_ = keyed.join(first, ["doc_id", "row"]).dropDuplicates(["doc_id", "row"])
-    return kept_.select(*names).unionByName(docs.where("doc_id is null"))
+    chosen = keyed.join(first, ["doc_id", "row"]).dropDuplicates(["doc_id", "row"])
+    return back(chosen).unionByName(docs.where("doc_id is null"))

@@ -12,7 +12,7 @@ group, stored between steps; texts are read once, later steps read the small tab
 Edge cases: null language or source is a group of its own; groups under `least` rows are pooled by language,
 then overall, and a pool still too small for an estimate rejects nothing; null and empty texts fail the base
 rule on length; repeated rows all count; features without spread get a floor instead of a singular scatter;
-empty tables give no rows; further columns are ignored.
+empty tables give no rows; `judged` ignores further columns, `kept` returns them.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapstrata.llm.common import stored
+from snapstrata.llm.common import set_aside, stored
 from snapstrata.llm.text_stats import statistics
 
 #: Smallest standard deviation that counts as one, by feature.
@@ -88,24 +88,25 @@ def _estimates(moments: DataFrame, share: float) -> DataFrame:
     return moments.mapInPandas(run, "pool string, centre array<double>, inverse array<double>")
 
 
-def judged(docs: DataFrame, share: float = 0.75, steps: int = 4, least: int = 100, limit: float = 6.0) -> DataFrame:
-    """doc_id, the counts, base_failed, distance (null without an estimate) and kept.
-
-    `share` of a group's rows count as regular; `limit` is the distance in standard deviations.
-    """
+def _vectors(docs: DataFrame, *more: str) -> DataFrame:
+    """Counts, base_failed, features `z` and the group of each document (doc_id, text, lang, source, more)."""
     c = F.col
-    flat = docs.select("doc_id", "text", F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"))
-    rows = statistics(flat, "lang", "source").withColumn("z", F.array(*features()))
-    rows = stored(rows.withColumn("base_failed", (c("n_words") < 50) | (100 * c("n_repeat_words") > 50 * c("n_words"))), "vectors")
+    rows = statistics(docs, "lang", "source", *more).withColumn("z", F.array(*features()))
+    rows = rows.withColumn("base_failed", (c("n_words") < 50) | (100 * c("n_repeat_words") > 50 * c("n_words")))
+    return rows.withColumn("lang_key", F.coalesce("lang", F.lit(""))).withColumn("source_key", F.coalesce("source", F.lit("")))
+
 
+def _fitted(rows: DataFrame, share: float, steps: int, least: int) -> tuple[DataFrame, DataFrame]:
+    """Pools by group, and estimates by pool."""
+    c = F.col
     # Groups large enough are pools of their own; the others meet by language, then all together.
-    sizes = rows.groupBy("lang", "source").agg(F.count("*").alias("n")).withColumn("own", c("n") >= least)
-    small = sizes.where(~c("own")).groupBy("lang").agg(F.sum("n").alias("by_lang"))
-    pool = F.when(c("own"), F.to_json(F.array("lang", "source"))).when(c("by_lang") >= least, F.to_json(F.array("lang"))).otherwise("[]")
-    pools = stored(sizes.join(small, "lang", "left").select("lang", "source", pool.alias("pool")), "pools")
-    vectors = rows.join(pools, ["lang", "source"])
+    sizes = rows.groupBy("lang_key", "source_key").agg(F.count("*").alias("n")).withColumn("own", c("n") >= least)
+    small = sizes.where(~c("own")).groupBy("lang_key").agg(F.sum("n").alias("by_lang"))
+    pool = F.when(c("own"), F.to_json(F.array("lang_key", "source_key"))).when(c("by_lang") >= least, F.to_json(F.array("lang_key"))).otherwise("[]")
+    pools = stored(sizes.join(small, "lang_key", "left").select("lang_key", "source_key", pool.alias("pool")), "pools")
+    vectors = rows.join(pools, ["lang_key", "source_key"])
 
-    # Start: medians, and three quarters of the way to the quartiles as spread, each feature by itself.
+    # Start: medians, and the distance of the quartiles as spread, each feature by itself.
     middle = vectors.groupBy("pool").agg(*(F.percentile_approx(c("z")[i], [0.25, 0.5, 0.75], 1000).alias(f"q{i}") for i in range(P)))
     floors = [v**2 for v in FLOORS.values()]
     diagonal = [1 / (((c(f"q{i}")[2] - c(f"q{i}")[0]) / 1.35) ** 2 + floors[i]) for i in range(P)]
@@ -126,12 +127,30 @@ def judged(docs: DataFrame, share: float = 0.75, steps: int = 4, least: int = 10
             F.array(*(F.sum(c("z")[i] * c("z")[j]) for i in range(P) for j in range(i, P))).alias("products"),
         )
         estimates = stored(_estimates(moments, share), "estimates")
-    distance = F.sqrt(F.greatest(_distance(c("z"), c("centre"), c("inverse")), F.lit(0.0)))
-    return (
-        vectors.join(estimates, "pool", "left")
-        .withColumn("distance", distance)
-        .select(
-            "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-            (~c("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= limit)).alias("kept"), "distance",
-        )
+    return pools, estimates
+
+
+def _verdicts(rows: DataFrame, pools: DataFrame, estimates: DataFrame, limit: float) -> DataFrame:
+    c = F.col
+    judged = rows.join(pools, ["lang_key", "source_key"]).join(estimates, "pool", "left")
+    judged = judged.withColumn("distance", F.sqrt(F.greatest(_distance(c("z"), c("centre"), c("inverse")), F.lit(0.0))))
+    return judged.withColumn("kept", ~c("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= limit))
+
+
+def judged(docs: DataFrame, share: float = 0.75, steps: int = 4, least: int = 100, limit: float = 6.0) -> DataFrame:
+    """doc_id, the counts, base_failed, kept and distance (null without an estimate).
+
+    `share` of a group's rows count as regular; `limit` is the distance in standard deviations.
+    """
+    rows = stored(_vectors(docs.select("doc_id", "text", "lang", "source")), "vectors")
+    return _verdicts(rows, *_fitted(rows, share, steps, least), limit).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance"
     )
+
+
+def kept(docs: DataFrame, share: float = 0.75, steps: int = 4, least: int = 100, limit: float = 6.0) -> DataFrame:
+    """The documents that are kept, with all their columns. Texts are read again instead of being shuffled or stored."""
+    frame, back = set_aside(docs, "doc_id", "text", "lang", "source")
+    small = frame.select("doc_id", "text", "lang", "source")
+    pools, estimates = _fitted(stored(_vectors(small), "vectors"), share, steps, least)
+    return back(_verdicts(_vectors(frame, "text", *frame.columns[4:]), pools, estimates, limit).where("kept"))

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapstrata.llm.common import stored
+from snapstrata.llm.common import set_aside, stored
 from snapstrata.llm.fm_index import FmIndex
 from snapstrata.llm.rolling import Hashes, Rolling, batches
 
@@ -212,9 +212,10 @@ def kept_text(text: bytes, places: list[dict] | None) -> bytes:
 
 def cut(docs: DataFrame) -> DataFrame:
     """The documents with repeated words cut from their texts, all columns in place; null texts come out empty."""
-    names = docs.columns
-    schema = ", ".join(f"`{x.name}` {x.dataType.simpleString()}" for x in docs.schema)
-    placed = _with_places(docs.withColumn("text", F.coalesce("text", F.lit("")))).select(*names, "places")
+    frame, back = set_aside(docs, "doc_id", "text")
+    names = frame.columns
+    schema = ", ".join(f"{x.name} {x.dataType.simpleString()}" for x in frame.schema)
+    placed = _with_places(frame.withColumn("text", F.coalesce("text", F.lit("")))).select(*names, "places")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -222,4 +223,4 @@ def cut(docs: DataFrame) -> DataFrame:
             made = [kept_text(t, p).decode("utf-8", "replace") for t, p in zip(texts, batch.column("places").to_pylist())]
             yield pa.RecordBatch.from_arrays([pa.array(made, pa.string()) if x == "text" else batch.column(x) for x in names], names)
 
-    return placed.mapInArrow(run, schema)
+    return back(placed.mapInArrow(run, schema))

@@ -51,7 +51,10 @@ def counted(text: bytes) -> tuple[int, ...]:
 
 
 def statistics(docs: DataFrame, *more: str) -> DataFrame:
-    """doc_id, further columns as they are, and COUNTS of each text; null and empty texts count nothing."""
+    """doc_id, further columns as they are (`text` too, if named: null comes out empty), and COUNTS of each text.
+
+    Null and empty texts count nothing.
+    """
 
     def rows(batch: list, _) -> dict:
         table = np.array([counted(x) for x in batch], np.int64).reshape(-1, len(COUNTS))
@@ -59,5 +62,6 @@ def statistics(docs: DataFrame, *more: str) -> DataFrame:
 
     fields = {x.name: x.dataType.simpleString() for x in docs.schema}
     passed = ("doc_id", *more)
+    more = tuple(x for x in more if x != "text")
     schema = ", ".join([f"{x} {fields[x]}" for x in passed] + [f"{x} long" for x in COUNTS])
     return mapped(texts(docs, *more), rows, schema, passed)
