@@ -22,7 +22,9 @@ import mmap
 import os
 import re
 import tempfile
+from array import array
 from collections.abc import Iterable
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,10 @@ from snapstrata.llm.common import mapped, texts
 #: Unicode's white space, as a class of regular expressions.
 WHITE = r"\t-\r \x85\xa0" + "".join(map(chr, (0x1680, 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))) + chr(0x2000) + "-" + chr(0x200A)
 WORD = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
+#: Text of these characters only (none of them is white space but the space) splits by the next expression as the vocabulary does.
+LETTERS = "A-Za-zÀ-ÖØ-öø-ſ"
+PLAIN = re.compile(f"[ -~{LETTERS}]+")
+PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[0-9]+| ?[^ 0-9{LETTERS}]+")
 
 
 def compiled(words: Iterable[bytes], ids: Iterable[list[int]]) -> bytes:
@@ -134,8 +140,10 @@ class Lexicon:
             live, states, sums = live[~ended], states[~ended], sums[~ended]
         return out
 
-    def of(self, number: int) -> list[int]:
-        return self.ids[self.ends[number] : self.ends[number + 1]].tolist()
+    def found(self, words: list[str]) -> dict[str, bytes]:
+        """Ids, as unsigned 32-bit bytes, of the words that are in it."""
+        numbers = self.numbers([w.encode() for w in words]).tolist()
+        return {w: self.ids[self.ends[n] : self.ends[n + 1]].tobytes() for w, n in zip(words, numbers) if n >= 0}
 
 
 def library(path: str):
@@ -160,33 +168,36 @@ def token_bytes(path: str) -> list[bytes]:
 
 
 class Codec:
-    def __init__(self, path: str, block: bytes, bound: int = 300_000):
+    def __init__(self, path: str, block: bytes, bound: int = 600_000):
         self.lexicon, self.library, self.bytes = Lexicon(block), library(path), token_bytes(path)
         self.bound = bound
-        self.merged: dict[str, list[int]] = {}  # words that had to be merged, while there is room
-
-    def words(self, words: list[str]) -> dict[str, list[int]]:
-        numbers = self.lexicon.numbers([w.encode() for w in words])
-        out = {w: self.lexicon.of(n) for w, n in zip(words, numbers.tolist()) if n >= 0}
-        rest = [w for w, n in zip(words, numbers.tolist()) if n < 0]
-        new = [w for w in rest if w not in self.merged]
-        if len(self.merged) + len(new) > self.bound:
-            self.merged, new = {}, rest
-        self.merged.update(zip(new, (x.ids for x in self.library.encode_batch_fast(new, add_special_tokens=False))))
+        self.merged: dict[str, bytes] = {}  # pieces that had to be merged; the older half goes when there are too many
+
+    def words(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of each word: from the transducer, else put together from its pieces, those being looked up or merged."""
+        out = self.lexicon.found(words)
+        split = {w: PIECE.findall(w) if PLAIN.fullmatch(w) and "<|" not in w else [w] for w in words if w not in out}
         merged = self.merged
-        out.update((w, merged[w]) for w in rest)
+        new = list({p for ps in split.values() for p in ps}.difference(merged))
+        known = self.lexicon.found(new)
+        new = [p for p in new if p not in known]
+        merged.update(zip(new, [array("I", x.ids).tobytes() for x in self.library.encode_batch_fast(new, add_special_tokens=False)]))
+        for w, ps in split.items():
+            out[w] = b"".join([known[p] if p in known else merged[p] for p in ps])
+        if len(merged) > self.bound:
+            self.merged = dict(islice(merged.items(), len(merged) - self.bound // 2, None))
         return out
 
     def encode(self, batch: list[str]) -> list[list[int]]:
         cut = [WORD.findall(x) for x in batch]
         ids = self.words(list({w for ws in cut for w in ws}))
-        return [[i for w in ws for i in ids[w]] for ws in cut]
+        return [np.frombuffer(b"".join([ids[w] for w in ws]), np.uint32).tolist() for ws in cut]
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
 
 
-def lexicon(docs: DataFrame, path: str, share: float = 1e-5) -> bytes:
+def lexicon(docs: DataFrame, path: str, share: float = 2e-6) -> bytes:
     """Words of at least `share` of all, each with the space before it, compiled with their ids."""
     words = docs.select(F.explode(F.split(F.coalesce("text", F.lit("")), "[ \n]+")).alias("word")).where("word <> ''")
     counts = words.groupBy("word").agg(F.count("*").alias("n"))
@@ -200,7 +211,7 @@ def lexicon(docs: DataFrame, path: str, share: float = 1e-5) -> bytes:
 _codecs: dict[tuple, Codec] = {}
 
 
-def encoded(docs: DataFrame, path: str, share: float = 1e-5) -> DataFrame:
+def encoded(docs: DataFrame, path: str, share: float = 2e-6) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 (of decimal ids joined by commas), decoded_sha256.
 
     `path` is the vocabulary's file, which the workers have.
@@ -218,7 +229,7 @@ def encoded(docs: DataFrame, path: str, share: float = 1e-5) -> DataFrame:
         start = 0
         while start < len(batch):
             stop, size = start, 0
-            while stop < len(batch) and (size < 1 << 21 or stop == start):
+            while stop < len(batch) and (size < 1 << 22 or stop == start):
                 size += len(batch[stop])
                 stop += 1
             for ids in codec.encode([x.decode("utf-8", "replace") for x in batch[start:stop]]):
