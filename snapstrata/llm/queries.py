@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from snapstrata.llm import bpe_lexicon, fingerprints, license_scan, near_dedup, packing, quality_outliers, quality_ranking, quotation_links, substring_dedup, url_filters
 from snapstrata.llm.common import documents, vocabulary
 
 
 def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
-    return license_scan.scan(documents(spark, folder))
+    """Spans come as one text: label, errors, first word and the word after the last."""
+    return license_scan.scan(documents(spark, folder)).withColumn("spans", F.array_join("spans", ";"))
 
 
 def op2_fingerprints(spark: SparkSession, folder: str) -> DataFrame:

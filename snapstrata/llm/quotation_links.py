@@ -8,7 +8,8 @@ every message follows its parent; texts keep only their own lines.
 
 All of it is DataFrame code. Originals are one row for each conversation and passage, so no passage is paired
 with all its copies, and hot conversations are spread by passage or turn. Roots and depths come from pointer
-doubling: as many joins as the depth has binary digits, each stored so that a lost executor costs one step.
+doubling: as many joins as the depth has binary digits, of the messages that do not see their root yet, each stored
+so that a lost executor costs one step.
 
 Edge cases: null texts are empty; messages of null conversation or turn link to nothing; repeated rows of one
 turn share its parent and each get a row; a passage quoted before it is written, or never written, links to
@@ -60,16 +61,21 @@ def linked(messages: DataFrame) -> DataFrame:
     nodes = messages.select(*KEY).where("conv_id is not null and turn is not null").distinct().join(parents, KEY, "left")
     nodes = stored(nodes, "parents")
 
-    steps = stored(nodes.select(*KEY, F.coalesce("parent_turn", "turn").alias("root_turn"), c("parent_turn").isNotNull().cast("long").alias("depth")), "steps")
-    total = steps.agg(F.sum("depth")).first()[0]
-    while total:
-        far = steps.select("conv_id", c("turn").alias("root_turn"), c("root_turn").alias("further"), c("depth").alias("more"))
+    # Each step doubles how far a message sees; those that see their root are done and only looked up.
+    sees = nodes.select(*KEY, F.coalesce("parent_turn", "turn").alias("root_turn"), c("parent_turn").isNotNull().cast("long").alias("depth"))
+    steps = stored(sees.withColumn("done", c("depth") == 0), "steps")
+    settled, going = steps.where("done"), steps.where("not done")
+    while not going.isEmpty():
+        far = settled.unionByName(going).select(
+            "conv_id", c("turn").alias("root_turn"), c("root_turn").alias("further"), c("depth").alias("more"), c("done").alias("ends")
+        )
         steps = stored(
-            steps.join(far, ["conv_id", "root_turn"]).select(*KEY, c("further").alias("root_turn"), (c("depth") + c("more")).alias("depth")), "steps"
+            going.join(far, ["conv_id", "root_turn"])
+            .select(*KEY, c("further").alias("root_turn"), (c("depth") + c("more")).alias("depth"), c("ends").alias("done")),
+            "steps",
         )
-        before, total = total, steps.agg(F.sum("depth")).first()[0]
-        if before == total:
-            break
+        settled, going = settled.unionByName(steps.where("done")), steps.where("not done")
+    steps = settled.drop("done")
     return (
         messages.join(nodes, KEY, "left").join(steps, KEY, "left")
         .select(
