@@ -41,7 +41,7 @@ def digest(columns: Sequence[str], *, sep: str, missing: str = "<null>") -> Colu
     return F.sha2(F.concat_ws(sep, *parts), 256)
 
 
-def position(value: Column, order: Mapping[str, int]) -> Column:
-    """Position of a label in a fixed domain; labels outside it come last."""
+def position(value: Column, order: Mapping[str, int], *, unknown: int = UNKNOWN_POSITION) -> Column:
+    """Position of a label in a fixed domain, or ``unknown``. The default is the stored value of a dimension."""
     pairs = [F.lit(x) for pair in order.items() for x in pair]
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), value), F.lit(UNKNOWN_POSITION)).cast("int")
+    return F.coalesce(F.try_element_at(F.create_map(*pairs), value), F.lit(unknown)).cast("int")

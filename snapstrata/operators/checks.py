@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -119,8 +120,22 @@ def orphan_keys(fact: DataFrame, dims: Mapping[str, tuple[DataFrame, str]]) -> D
 
 
 def orphans(name: str, fact: DataFrame, dims: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
-    total = orphan_keys(fact, dims).agg(F.sum("orfas").alias("n"))
-    return total.select(*_check(name, F.col("n") == 0, F.col("n")))
+    """Fact rows that lack a member in any role; a row that lacks several counts once.
+
+    What is joined to the rows is the keys without a member, of which there are few or none.
+    """
+    rows = fact.select(*dims)
+    for column, (dim, key) in dims.items():
+        present = dim.select(F.col(key).alias(column)).distinct()
+        lost = fact.select(column).distinct().join(present, column, "left_anti").where(F.col(column).isNotNull())
+        rows = rows.join(lost.withColumn(f"_sem_{column}", F.lit(True)), column, "left")
+    bad = [F.col(c).isNull() | F.col(f"_sem_{c}").isNotNull() for c in dims]
+    return _none(name, rows.where(reduce(or_, bad)))
+
+
+def unique_key(name: str, dim: DataFrame, key: str) -> DataFrame:
+    """No key stands for two rows: hashed keys may collide, and a join by such a key would double rows."""
+    return _none(name, dim.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1))
 
 
 def no_failed_stage(name: str, log: DataFrame, state: DataFrame, *, run: str = "run_id", error: str = "ERRO") -> DataFrame:

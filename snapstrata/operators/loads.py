@@ -9,7 +9,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapstrata.functions import derive
@@ -33,6 +33,9 @@ NOTICE_ORDER = "ARQUIVO_FORA_DE_ORDEM"
 NOTICE_COPY = "ARQUIVO_CONTEUDO_DUPLICADO"
 NOTICE_NAME = "ARQUIVO_NOME_INVALIDO"
 
+#: Hex digits of a digest that are added up as one number: 52 bits, five of them to a digest.
+DIGEST_WORD = 13
+
 
 class LoadRefused(ValueError):
     """The requested load cannot be planned."""
@@ -40,7 +43,10 @@ class LoadRefused(ValueError):
 
 # ---------------------------------------------------------------------------- discovery
 def discover(spark: SparkSession, folder: str) -> DataFrame:
-    """Path, name and size of the files in a folder; the content column is never read."""
+    """Path, name and size of the files in a folder, none if it is not there; the content is never read."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        return spark.createDataFrame([], "caminho string, arquivo string, tamanho_bytes bigint")
     files = spark.read.format("binaryFile").load(folder)
     return files.select(
         F.col("path").alias("caminho"),
@@ -67,16 +73,15 @@ def manifest(files: DataFrame, *, prefix: str, extension: str) -> DataFrame:
 
 
 def fingerprint(df: DataFrame, columns: Sequence[str], *, by: Sequence[str] = ()) -> DataFrame:
-    """Fingerprint of the rows of a load: row count and the sum of their digests.
+    """Fingerprint of the rows of a load: row count and the sums of all parts of their digests.
 
     It does not depend on the order of rows, on file splits or on line endings, so a resent file
     with shuffled rows has the same fingerprint; a file hash would differ.
     """
-    first_60_bits = F.conv(F.substring(derive.digest(columns, sep="||"), 1, 15), 16, 10)
-    total = F.sum(first_60_bits.cast("decimal(20,0)")).cast("string")
-    return df.groupBy(*by).agg(
-        F.concat_ws("-", F.count(F.lit(1)).cast("string"), F.coalesce(total, F.lit("0"))).alias(FINGERPRINT)
-    )
+    digest = derive.digest(columns, sep="||")
+    words = [F.conv(F.substring(digest, at, DIGEST_WORD), 16, 10).cast("decimal(20,0)") for at in range(1, 65, DIGEST_WORD)]
+    sums = [F.coalesce(F.sum(w).cast("string"), F.lit("0")) for w in words]
+    return df.groupBy(*by).agg(F.concat_ws("-", F.count(F.lit(1)).cast("string"), *sums).alias(FINGERPRINT))
 
 
 # ---------------------------------------------------------------------------- planning
@@ -103,17 +108,12 @@ def last_success(state: DataFrame) -> DataFrame:
 
 
 def _two_first_days(state: DataFrame) -> DataFrame:
-    """The two earliest load dates of each fingerprint; enough to name a copy of any one load."""
-    order = Window.partitionBy(FINGERPRINT).orderBy(DAY)
-    ranked = (
-        state.where(F.col(FINGERPRINT).isNotNull())
-        .select(FINGERPRINT, DAY)
-        .withColumn("_n", F.row_number().over(order))
-        .where(F.col("_n") <= 2)
-    )
-    return ranked.groupBy(FINGERPRINT).agg(
-        F.min(DAY).alias("_copia_1"), F.when(F.count(F.lit(1)) > 1, F.max(DAY)).alias("_copia_2")
-    )
+    """The two earliest load dates of each fingerprint, enough to name a copy of any one load, and their number."""
+    known = state.where(F.col(FINGERPRINT).isNotNull()).select(FINGERPRINT, DAY)
+    first = known.groupBy(FINGERPRINT).agg(F.min(DAY).alias("_copia_1"), F.count(F.lit(1)).alias("_cargas"))
+    later = known.join(first, FINGERPRINT).where(F.col(DAY) > F.col("_copia_1"))
+    second = later.groupBy(FINGERPRINT).agg(F.min(DAY).alias("_copia_2"))
+    return first.join(second, FINGERPRINT, "left")
 
 
 def plan(candidates: DataFrame, state: DataFrame, request: Request) -> DataFrame:
@@ -121,13 +121,14 @@ def plan(candidates: DataFrame, state: DataFrame, request: Request) -> DataFrame
 
     ``candidates`` has date, name, path, size and fingerprint of the valid files; ``state`` has
     date, status, attempts and fingerprint of the registered loads. A copy is only looked for
-    among registered loads, not among files of the same run; ``copia_de`` names the earliest.
+    among registered loads, not among files of the same run; ``copia_de`` names the earliest and
+    ``copias`` says how many there are, which ``copies_of`` lists.
     """
     day = F.col(DAY)
     if request.day is not None:
         candidates = candidates.where(day == F.lit(request.day))
     known = state.select(
-        DAY, F.col(STATUS).alias("_status"), F.col(ATTEMPTS).alias("_tentativas")
+        DAY, F.col(STATUS).alias("_status"), F.col(ATTEMPTS).alias("_tentativas"), F.col(FINGERPRINT).alias("_conteudo")
     ).withColumn("_registrada", F.lit(True))
     newest = last_success(state).select("ultima").scalar()
     facts = (
@@ -150,6 +151,8 @@ def plan(candidates: DataFrame, state: DataFrame, request: Request) -> DataFrame
     late = ~seen & F.coalesce(day < F.col("_ultima"), F.lit(False))
     copy_of = F.when(F.col("_copia_1") != day, F.col("_copia_1")).otherwise(F.col("_copia_2"))
     copied = copy_of.isNotNull() & ~late
+    own = F.coalesce(F.col("_conteudo") == F.col(FINGERPRINT), F.lit(False)).cast("int")
+    others = F.coalesce(F.col("_cargas"), F.lit(0)) - own
     attempt = F.lit(1) if request.redo else F.coalesce(F.col("_tentativas"), F.lit(0)) + 1
     too_late = F.concat(F.lit("Anterior a ultima carga com sucesso ("), F.col("_ultima").cast("string"), F.lit(")"))
 
@@ -160,6 +163,7 @@ def plan(candidates: DataFrame, state: DataFrame, request: Request) -> DataFrame
         F.when(skipped, F.col("_tentativas")).otherwise(attempt).cast("int").alias(ATTEMPTS),
         F.when(~skipped & late, too_late).alias("mensagem"),
         F.when(~skipped & copied, copy_of).alias("copia_de"),
+        F.when(~skipped & copied, others).otherwise(F.lit(0)).cast("bigint").alias("copias"),
         F.array_compact(
             F.array(
                 F.when(~done & ~dropped & worn_out, NOTICE_ATTEMPTS),
@@ -176,6 +180,12 @@ def copies(state: DataFrame) -> DataFrame:
     return state.select(DAY, FINGERPRINT).join(repeated, FINGERPRINT, "inner")
 
 
+def copies_of(planned: DataFrame, state: DataFrame) -> DataFrame:
+    """Every registered load with the content of a planned one: date of the load, date of its copy."""
+    known = state.select(FINGERPRINT, F.col(DAY).alias("copia"))
+    return planned.where("copias > 0").select(DAY, FINGERPRINT).join(known, FINGERPRINT).where(F.col("copia") != F.col(DAY)).select(DAY, "copia")
+
+
 def require_plan(planned: DataFrame, state: DataFrame, request: Request) -> None:
     """Raises when the requested date has no file, or would be redone behind a later success."""
     if request.day is None:
@@ -219,7 +229,6 @@ def advance(
     *,
     stages: Mapping[str, tuple[str, str, str]] = STAGES,
     counts: Sequence[str] = ("linhas_bronze", "linhas_silver", "linhas_quarentena"),
-    message_limit: int = 1000,
 ) -> DataFrame:
     """The state after a stage ran: outcomes have date, ``etapa``, ``ok``, ``mensagem`` and counts.
 
@@ -239,7 +248,7 @@ def advance(
         F.col("ok").alias("_ok"),
         step["entrada"].alias("_entrada"),
         F.when(F.col("ok"), step["bom"]).otherwise(step["ruim"]).alias("_status"),
-        F.substring("mensagem", 1, message_limit).alias("_mensagem"),
+        F.col("mensagem").alias("_mensagem"),
         *[F.col(c).alias(f"_{c}") for c in counts],
     )
     joined = state.join(result, DAY, "left")

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
-from decimal import Decimal
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,16 +17,10 @@ class Parameters:
     defaults: Mapping[str, str]
     values: Mapping[str, str] = field(default_factory=dict)
 
-    def text(self, name: str) -> str:
-        if name not in self.defaults:
-            raise KeyError(f"unknown parameter: {name}")
-        return self.values.get(name, self.defaults[name])
-
-    def integer(self, name: str) -> int:
-        return int(self.text(name))
-
-    def decimal(self, name: str) -> Decimal:
-        return Decimal(self.text(name))
+    def get(self, name: str, kind: Callable[[str], Any] = str) -> Any:
+        """The value as text, or read by ``kind``; KeyError for a name that has no default."""
+        default = self.defaults[name]
+        return kind(self.values.get(name, default))
 
     def with_values(self, **values: str) -> Parameters:
         return Parameters(self.defaults, {**self.values, **values})

@@ -131,7 +131,8 @@ def occurrence(
     key are no group: they get NULL.
     """
     group = [*within, key]
-    cut = F.floor(F.col(seq) / F.lit(slice_width)).cast("long")
+    # Whole-number division: sequences may be beyond what a double holds exactly. Rows without a key are spread by theirs.
+    cut = F.call_function("div", F.col(seq), F.lit(slice_width).cast("bigint"))
     sliced = df.withColumn("_fatia", cut)
     sizes = (
         sliced.where(F.col(key).isNotNull())
@@ -143,13 +144,11 @@ def occurrence(
         sizes.select(*group, "_fatia", F.sum("_n").over(earlier).alias("_antes"))
         .where(F.col("_antes") > 0)
     )
-    spread = F.when(F.col(key).isNull(), F.col(seq))
-    inside = F.row_number().over(Window.partitionBy(*group, "_fatia", spread).orderBy(seq))
-    numbered = sliced.withColumn("_dentro", inside)
-    number = F.when(F.col(key).isNotNull(), F.coalesce(F.col("_antes"), F.lit(0)) + F.col("_dentro"))
-    return numbered.join(offsets, [*group, "_fatia"], "left").select(
-        *df.columns, number.cast("long").alias("_seq_id")
-    )
+    inside = F.row_number().over(Window.partitionBy(*group, "_fatia").orderBy(seq))
+    keyed = sliced.where(F.col(key).isNotNull()).withColumn("_dentro", inside)
+    number = F.coalesce(F.col("_antes"), F.lit(0)) + F.col("_dentro")
+    numbered = keyed.join(offsets, [*group, "_fatia"], "left").select(*df.columns, number.cast("long").alias("_seq_id"))
+    return numbered.unionByName(df.where(F.col(key).isNull()).withColumn("_seq_id", F.lit(None).cast("long")))
 
 
 def codes(rules: Sequence[Rule]) -> Column:

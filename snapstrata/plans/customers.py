@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -188,7 +189,7 @@ def ruleset(params: Parameters = PARAMETERS) -> list[Rule]:
     def alert(code: str, text: str, violated: list[Column], action: str = review) -> Rule:
         return Rule(code, text, ALERT, action, violated)
 
-    birth_range = rules.in_range("ano_nascimento", params.integer("ano_nascimento_min"), F.year(day))
+    birth_range = rules.in_range("ano_nascimento", params.get("ano_nascimento_min", int), F.year(day))
     domains = {"escolaridade": list(EDUCATION_ORDER), "estado_civil": MARITAL_STATUS}
     return [
         blocking("R001_ID_INVALIDO", "id_cliente nulo ou nao numerico", rules.not_null("id_cliente")),
@@ -211,7 +212,7 @@ def ruleset(params: Parameters = PARAMETERS) -> list[Rule]:
         alert(
             "A002_SALARIO_OUTLIER",
             "salario_anual acima do limite parametrizado",
-            rules.max_value("salario_anual", params.decimal("salario_max_outlier")),
+            rules.max_value("salario_anual", params.get("salario_max_outlier", Decimal)),
         ),
         alert(
             "A003_ANO_NASCIMENTO_INVALIDO",
@@ -247,7 +248,7 @@ def typed(raw: DataFrame, params: Parameters = PARAMETERS) -> DataFrame:
     return coerce.typed(
         raw,
         FIELDS,
-        date_format=params.text("formato_data_origem"),
+        date_format=params.get("formato_data_origem"),
         extra=[DAY, SEQ, F.col("id_cliente").alias(RAW_ID), quality.packed(COLUMNS)],
     )
 
@@ -328,7 +329,7 @@ def quarantined(split: quality.Split, params: Parameters = PARAMETERS) -> DataFr
 # ---------------------------------------------------------------------------- dimensions
 def income_band(params: Parameters = PARAMETERS, salary: str = "salario_anual") -> Column:
     names = ["faixa_salarial_baixa_ate", "faixa_salarial_media_ate", "faixa_salarial_alta_ate"]
-    limits = [(params.decimal(n), label) for n, label in zip(names, INCOME_BANDS)]
+    limits = [(params.get(n, Decimal), label) for n, label in zip(names, INCOME_BANDS)]
     return derive.band(
         F.col(salary), limits, above=INCOME_BANDS[-1], missing=NOT_GIVEN, upper_inclusive=True
     )
@@ -375,8 +376,8 @@ def campaign_dim(spark: SparkSession) -> DataFrame:
 
 def calendar_dim(spark: SparkSession, params: Parameters = PARAMETERS) -> DataFrame:
     bounds = spark.range(1).select(
-        F.lit(params.text("dim_data_inicio")).cast("date").alias("inicio"),
-        F.lit(params.text("dim_data_fim")).cast("date").alias("fim"),
+        F.lit(params.get("dim_data_inicio")).cast("date").alias("inicio"),
+        F.lit(params.get("dim_data_fim")).cast("date").alias("fim"),
     )
     return dims.calendar(bounds, "inicio", "fim", months=MONTHS, weekdays=WEEKDAYS)
 
@@ -418,24 +419,30 @@ def snapshot_fact(versioned: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
 
 
 def _domain_fact(
-    versioned: DataFrame, domain: dict[str, tuple[str, str]], *, value: str, key: str, as_type: str | None = None
+    versioned: DataFrame,
+    domain: dict[str, tuple[str, str]],
+    extra: Sequence[str] = (),
+    *,
+    value: str,
+    key: str,
+    as_type: str | None = None,
 ) -> DataFrame:
-    ids = ["sk_cliente", "sk_data_carga", DAY]
+    ids = ["sk_cliente", "sk_data_carga", DAY, *extra]
     return facts.unpivot(
         versioned, ids, codes_to_columns(domain), value=value, key=key, as_type=as_type
     ).drop(facts.CODE)
 
 
-def category_fact(versioned: DataFrame) -> DataFrame:
-    return _domain_fact(versioned, CATEGORIES, value="valor_gasto", key="sk_categoria")
+def category_fact(versioned: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    return _domain_fact(versioned, CATEGORIES, extra, value="valor_gasto", key="sk_categoria")
 
 
-def channel_fact(versioned: DataFrame) -> DataFrame:
-    return _domain_fact(versioned, CHANNELS, value="qtd_compras", key="sk_canal")
+def channel_fact(versioned: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    return _domain_fact(versioned, CHANNELS, extra, value="qtd_compras", key="sk_canal")
 
 
-def campaign_fact(versioned: DataFrame) -> DataFrame:
-    return _domain_fact(versioned, CAMPAIGNS, value="aceitou", key="sk_campanha", as_type="int")
+def campaign_fact(versioned: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    return _domain_fact(versioned, CAMPAIGNS, extra, value="aceitou", key="sk_campanha", as_type="int")
 
 
 def build_facts(versioned: DataFrame) -> dict[str, DataFrame]:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapstrata.operators import checks, dims, loads, quality, scd2
+from snapstrata.operators import checks, dims, loads, merge, quality, scd2
 from snapstrata.operators.params import Parameters
 from snapstrata.plans import customers as preset
 from snapstrata.sources import generations, ingest, scratch, slices
@@ -48,8 +48,8 @@ class Warehouse:
         """
         found = loads.manifest(
             loads.discover(self.spark, folder),
-            prefix=self.params.text("arquivo_prefixo"),
-            extension=self.params.text("arquivo_extensao"),
+            prefix=self.params.get("arquivo_prefixo"),
+            extension=self.params.get("arquivo_extensao"),
         ).where("nome_valido")
         if skip is not None:
             found = found.join(skip.select(loads.DAY), loads.DAY, "left_anti")
@@ -61,16 +61,16 @@ class Warehouse:
         return found.join(prints, "arquivo", "left").drop("nome_valido")
 
     def badly_named(self, folder: str) -> DataFrame:
-        extension = self.params.text("arquivo_extensao")
+        extension = self.params.get("arquivo_extensao")
         files = loads.discover(self.spark, folder)
-        listed = loads.manifest(files, prefix=self.params.text("arquivo_prefixo"), extension=extension)
+        listed = loads.manifest(files, prefix=self.params.get("arquivo_prefixo"), extension=extension)
         return listed.where(~F.col("nome_valido")).select("arquivo", F.lit(loads.NOTICE_NAME).alias("aviso"))
 
     # ------------------------------------------------------------------ bronze
     def bronze(self, file: str, day: date, run_id: str) -> list[str]:
         """Replaces the load's text rows; returns names of columns outside the contract."""
         read = ingest.read_delimited(
-            self.spark, file, sep=self.params.text("csv_separador"), encoding=self.params.text("csv_encoding")
+            self.spark, file, sep=self.params.get("csv_separador"), encoding=self.params.get("csv_encoding")
         )
         rows, extra = ingest.apply_contract(read, preset.CONTRACT)
         audited = ingest.add_audit(rows, load_day=F.lit(day), source=F.lit(file), run_id=run_id)
@@ -97,22 +97,31 @@ class Warehouse:
         rules = preset.ruleset(self.params)
         summary = scratch.stored(quality.summarise(split.evaluated, rules, by=[DAY]), "resumo")
         results = quality.results(summary, rules, by=[DAY]).withColumn("tabela", F.lit("silver.marketing_cliente"))
-        slices.replace_slice(_stamped(results, run_id), self.path("dq_resultado"), day)
+        slices.append_part(_stamped(results, run_id), self.path("dq_resultado"), day, run_id)
         slices.replace_slice(
             _stamped(preset.quarantined(split, self.params), run_id), self.path("quarentena"), day
         )
-        gated = quality.gate(summary, float(self.params.decimal("limite_rejeicao_pct")))
+        gated = quality.gate(summary, self.params.get("limite_rejeicao_pct", float))
         quality.require_gate(gated)
         clean = _stamped(preset.accepted(split, self.params), run_id)
         slices.replace_slice(clean, self.path("silver"), day)
         return slices.read_slice(self.spark, self.path("silver"), day, _schema(clean))
 
+    def rule_results(self) -> DataFrame:
+        """Rule results of every run of every load."""
+        kinds = {"total": T.LongType(), "falhas": T.LongType(), "pct_falha": T.DoubleType(), "_processado_ts": T.TimestampType()}
+        names = ["regra", "descricao", "severidade", "acao", "total", "falhas", "pct_falha", "tabela", ingest.RUN, "_processado_ts"]
+        schema = T.StructType([T.StructField(n, kinds.get(n, T.StringType())) for n in names])
+        return slices.read_parts(self.spark, self.path("dq_resultado"), schema)
+
     # ------------------------------------------------------------------ dimensions
-    def _rewrite(self, table: str, fresh: DataFrame, key: str) -> DataFrame:
+    def _rewrite(self, table: str, fresh: DataFrame, key: str, *, fixed: bool = False) -> DataFrame:
+        """The stored dimension with new members; of a ``fixed`` domain labels are also brought up to date."""
         path, schema = self.path(table), _schema(fresh)
         number = generations.latest(self.spark, path)
         old = generations.read_latest(self.spark, path, schema, number)
-        generations.write_next(dims.grow(old, fresh, key), path, after=number)
+        moved = merge.upsert(old, fresh, [key]) if fixed else dims.grow(old, fresh, key)
+        generations.write_next(moved, path, after=number)
         return generations.read_latest(self.spark, path, schema)
 
     def dimensions(self, clean: DataFrame, day: date) -> dict[str, DataFrame]:
@@ -121,14 +130,15 @@ class Warehouse:
             "dim_pais": self._rewrite("dim_pais", preset.country_dim(clean), "sk_pais"),
             "dim_escolaridade": self._rewrite("dim_escolaridade", preset.education_dim(clean), "sk_escolaridade"),
             "dim_estado_civil": self._rewrite("dim_estado_civil", preset.marital_dim(clean), "sk_estado_civil"),
-            "dim_categoria_produto": preset.category_dim(self.spark),
-            "dim_canal": preset.channel_dim(self.spark),
-            "dim_campanha": preset.campaign_dim(self.spark),
+            "dim_categoria_produto": self._rewrite("dim_categoria_produto", preset.category_dim(self.spark), "sk_categoria", fixed=True),
+            "dim_canal": self._rewrite("dim_canal", preset.channel_dim(self.spark), "sk_canal", fixed=True),
+            "dim_campanha": self._rewrite("dim_campanha", preset.campaign_dim(self.spark), "sk_campanha", fixed=True),
         }
-        fresh = preset.calendar_dim(self.spark, self.params)
-        path = self.path("dim_data")
-        if generations.latest(self.spark, path) == 0:
-            generations.write_next(fresh, path, after=0)
+        fresh, path = preset.calendar_dim(self.spark, self.params), self.path("dim_data")
+        number = generations.latest(self.spark, path)
+        filled = dims.calendar_if_empty(generations.read_latest(self.spark, path, _schema(fresh), number), fresh)
+        if filled is fresh:
+            generations.write_next(fresh, path, after=number)
         out["dim_data"] = generations.read_latest(self.spark, path, _schema(fresh))
         out["dim_cliente"] = self._customer_versions(clean, day)
         return out

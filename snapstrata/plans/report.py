@@ -12,11 +12,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapstrata.functions import derive
+from snapstrata.functions import derive, keys
 
 LABEL = "rotulo"
 
 
+def positioned(aggregated: DataFrame, *order: Column | str) -> DataFrame:
+    """Rows in order, with their place in it; for the few rows of a report."""
+    place = F.row_number().over(Window.partitionBy().orderBy(*order))
+    return aggregated.withColumn("posicao", place).orderBy("posicao")
+
+
 # ---------------------------------------------------------------------------- operation
 def loads(state: DataFrame) -> DataFrame:
     """Load states, newest first."""
@@ -72,6 +78,12 @@ def run_succeeded(log: DataFrame, *, run: str, time: str, tie: str) -> DataFrame
 
 
 # ---------------------------------------------------------------------------- business
+def newest_two(state: DataFrame) -> DataFrame:
+    """The two latest successful loads, as date keys, newest first."""
+    done = state.where(F.col("status") == "SUCESSO").select("data_carga")
+    return done.orderBy(F.col("data_carga").desc()).limit(2).select(keys.date_key(F.col("data_carga")).alias("sk_data_carga"))
+
+
 def kpi(snapshot: DataFrame) -> DataFrame:
     """Customers, spend and five means per load."""
     means = {
@@ -91,23 +103,24 @@ def kpi(snapshot: DataFrame) -> DataFrame:
 def _per_label(
     fact: DataFrame, value: str, label: str, dim: DataFrame | None, key: str | None, more: Sequence[str] = ()
 ) -> DataFrame:
-    """Rows and sum per label, with or without a dimension that has it.
+    """Rows, known values and their sum per label, with or without a dimension that has it.
 
     The fact is aggregated by dimension key before the join, so what is shuffled and joined has a
     row per member: a member with a third of all rows costs no more than the others, and it does
     not matter whether the dimension is broadcast.
     """
-    measures = {"_n": F.count(F.lit(1)), "_soma": F.sum(value)}
+    measures = {"_n": F.count(F.lit(1)), "_validos": F.count(value), "_soma": F.sum(value)}
     if dim is None:
         return fact.groupBy(F.col(label).alias(LABEL)).agg(*[m.alias(n) for n, m in measures.items()])
     per_key = fact.groupBy(key).agg(*[m.alias(n) for n, m in measures.items()])
     return per_key.join(dim, key, "inner").groupBy(F.col(label).alias(LABEL), *more).agg(
-        F.sum("_n").alias("_n"), F.sum("_soma").alias("_soma")
+        *[F.sum(c).alias(c) for c in measures]
     )
 
 
 def _mean() -> Column:
-    return F.col("_soma").cast("double") / F.col("_n")
+    """Over the known values; NULL where there is none."""
+    return F.try_divide(F.col("_soma").cast("double"), F.col("_validos"))
 
 
 def sum_by(fact: DataFrame, value: str, label: str, *, dim: DataFrame | None = None, key: str | None = None) -> DataFrame:
@@ -115,7 +128,7 @@ def sum_by(fact: DataFrame, value: str, label: str, *, dim: DataFrame | None = N
 
 
 def rate_by(fact: DataFrame, flag: str, label: str, *, dim: DataFrame | None = None, key: str | None = None) -> DataFrame:
-    """Mean and sum of a 0/1 measure that is never missing."""
+    """Mean and sum of a 0/1 measure over the rows that have it."""
     return _per_label(fact, flag, label, dim, key).select(LABEL, _mean().alias("valor"), F.col("_soma").alias("n"))
 
 
@@ -126,7 +139,7 @@ def count_by(fact: DataFrame, value: str, label: str, *, dim: DataFrame | None =
 def mean_by(
     fact: DataFrame, value: str, label: str, *more: str, dim: DataFrame | None = None, key: str | None = None
 ) -> DataFrame:
-    """Count and mean per label, and per further dimension columns that go with it."""
+    """Rows and mean of the known values per label, and per further dimension columns that go with it."""
     return _per_label(fact, value, label, dim, key, more).select(LABEL, *more, F.col("_n").alias("n"), _mean().alias("valor"))
 
 
@@ -166,10 +179,11 @@ def period_delta(aggregated: DataFrame, measures: Sequence[str], *, period: str)
 
 
 def order_by_domain(aggregated: DataFrame, label: str, order: Mapping[str, int] | Sequence[str]) -> DataFrame:
-    """Sorted by a fixed list of labels, unknown ones last."""
+    """Sorted by a fixed list of labels, unknown ones last however long the list is."""
     if not isinstance(order, Mapping):
         order = {name: i for i, name in enumerate(order)}
-    return aggregated.orderBy(derive.position(F.col(label), order), label)
+    last = max(order.values(), default=0) + 1
+    return aggregated.orderBy(derive.position(F.col(label), order, unknown=last), label)
 
 
 # ---------------------------------------------------------------------------- quality and catalog

@@ -74,7 +74,7 @@ def raw(days: Sequence[date], defects: Defects = Defects(), name: str = "raw") -
         "escolaridade": [("A006", "'Desconhecido'")],
         "salario_anual": [("R004", f"'-' || {salary}"), ("A001", "''"), ("A002", "'666666'")],
         "data_cadastro": [("R003", "'31/02/2022'"), ("A005", "'15/03/2030'")],
-        "gasto_vestuario": [("A007", "'abc'")],
+        **{c: [("A007", "'abc'")] for c in binding.UNREADABLE},
     }
 
     def content(column: str) -> str:
@@ -314,7 +314,8 @@ def deliveries(name: str = "entregas") -> str:
   from {name}_d)"""
 
 
-def load_state(name: str = "estado", source: str = "entregas") -> str:
+def load_state(name: str = "estado", source: str = "entregas", some: bool = False) -> str:
+    where = f"where data_carga <= {day(binding.STATE_UNTIL)} and menor % 3 <> 0" if some else ""
     states = " ".join(f"when {i} then {quoted(s)}" for i, s in enumerate(binding.LOAD_STATES))
     return f"""
 {name} as (
@@ -322,8 +323,8 @@ def load_state(name: str = "estado", source: str = "entregas") -> str:
     cast(linhas % 5 + 1 as integer) as tentativas, impressao, linhas * 10 as linhas_bronze,
     linhas * 10 - menor % 7 as linhas_silver, menor % 7 as linhas_quarentena,
     'run-' || (menor % 4) as run_id_ultimo, cast(null as varchar) as mensagem
-  from {source} where data_carga <= {day(binding.STATE_UNTIL)} and menor % 3 <> 0)"""
+  from {source} {where})"""
 
 
-def state() -> str:
-    return "with " + deliveries() + "," + load_state()
+def state(some: bool = False) -> str:
+    return "with " + deliveries() + "," + load_state(some=some)

@@ -19,7 +19,7 @@ from snapstrata.plans import customers as preset
 from snapstrata.plans import report
 from snapstrata.registry import binding
 from snapstrata.registry.binding import DAYS, LATEST, Defects, table
-from snapstrata.sources import ingest, scratch, slices
+from snapstrata.sources import generations, ingest, scratch, slices
 
 DAY = ingest.LOAD_DAY
 VERSIONS = preset.VERSIONS
@@ -115,7 +115,7 @@ def audit_columns(spark, folder):
     data = raw.select(*preset.COLUMNS, ingest.ROW_SEQ)
     seq = F.col(ingest.ROW_SEQ)
     numbered = ingest.add_audit(
-        data.select(*preset.COLUMNS, seq.alias("_s")), load_day=F.lit(LATEST), source=F.lit("marketing_20001231.csv"),
+        data.select(*preset.COLUMNS, seq.alias("_s")), load_day=F.lit(LATEST), source=F.lit(f"marketing_{LATEST:%Y%m%d}.csv"),
         run_id="run-1", seq=F.col("_s"),
     )
     return plain(numbered, "id_cliente", DAY, ingest.SOURCE_FILE, ingest.RUN, ingest.ROW_SEQ)
@@ -152,7 +152,7 @@ def quality_summary(spark, folder):
 
 def quality_gate(spark, folder):
     rules = preset.ruleset()
-    limit = float(preset.PARAMETERS.decimal("limite_rejeicao_pct"))
+    limit = preset.PARAMETERS.get("limite_rejeicao_pct", float)
     parts = []
     for name, defects in (("normal", Defects()), ("suja", Defects().dirtier())):
         raw = binding.customer_snapshots(spark, folder, (LATEST,), defects)
@@ -181,7 +181,7 @@ def first_occurrence(spark, folder):
 
 def occurrence_number(spark, folder):
     events = table(spark, folder, "events").select("event_id", "user_id")
-    return quality.occurrence(events, "user_id", "event_id", slice_width=4096).withColumnRenamed("_seq_id", "vez")
+    return quality.occurrence(events, "user_id", "event_id").withColumnRenamed("_seq_id", "vez")
 
 
 # ---------------------------------------------------------------------------- dimensions
@@ -194,7 +194,7 @@ def calendar(spark, folder):
 
 def dim_members(spark, folder):
     """Countries after two loads: the second adds to the first."""
-    clean = silver(spark, folder, (DAYS[0], LATEST), ["pais", DAY])
+    clean = scratch.stored(silver(spark, folder, (DAYS[0], LATEST), ["pais", DAY]).distinct(), "paises")
     first = preset.country_dim(of_day(clean, DAYS[0]))
     return dims.grow(first, preset.country_dim(of_day(clean)), "sk_pais").select("pais")
 
@@ -231,13 +231,25 @@ def bands(spark, folder):
 
 
 def surrogate_keys(spark, folder):
-    clean = silver(spark, folder, columns=["id_cliente", "pais", "data_cadastro", DAY])
-    return clean.select(
-        "id_cliente",
-        keys.hash_key(F.col("pais")).alias("sk_pais"),
-        keys.date_key(F.col("data_cadastro")).alias("sk_data_cadastro"),
-        keys.version_key(F.col("id_cliente"), F.col(DAY)).alias("sk_cliente"),
-    )
+    """What keys have to be like: as many as values, each of one value; date keys also by their bounds."""
+    clean = scratch.stored(silver(spark, folder, DAYS, ["id_cliente", "pais", "escolaridade", "data_cadastro", DAY]), "chaves")
+    natural = {
+        "pais": (F.col("pais"), keys.hash_key(F.col("pais"))),
+        "escolaridade": (F.col("escolaridade"), keys.hash_key(F.col("escolaridade"))),
+        "versao": (F.concat_ws("/", "id_cliente", DAY), keys.version_key(F.col("id_cliente"), F.col(DAY))),
+        "data_cadastro": (F.col("data_cadastro").cast("string"), keys.date_key(F.col("data_cadastro"))),
+    }
+    rows = F.explode(F.array(*[
+        F.struct(F.lit(n).alias("dimensao"), value.alias("valor"), key.cast("bigint").alias("chave")) for n, (value, key) in natural.items()
+    ]))
+    pairs = clean.select(rows.alias("r")).select("r.*").distinct()
+    by_value = pairs.groupBy("dimensao", "valor").agg(F.count("*").alias("n"), F.min("chave").alias("chave"))
+    by_key = pairs.groupBy("dimensao", "chave").agg(F.count("*").alias("n"))
+    dated = F.col("dimensao") == "data_cadastro"
+    return by_value.groupBy("dimensao").agg(
+        F.count("*").alias("valores"), F.max("n").alias("chaves_por_valor"),
+        F.min(F.when(dated, F.col("chave"))).alias("menor"), F.max(F.when(dated, F.col("chave"))).alias("maior"),
+    ).join(by_key.groupBy("dimensao").agg(F.count("*").alias("chaves"), F.max("n").alias("valores_por_chave")), "dimensao")
 
 
 # ---------------------------------------------------------------------------- versions
@@ -246,12 +258,16 @@ def scd2_history(spark, folder):
 
 
 def _loaded(source: DataFrame, days: Sequence[date]) -> DataFrame:
-    """The dimension load by load, each state stored before the next load reads it."""
-    dim = scd2.from_history(of_day(source, days[0]), VERSIONS, day=DAY)
-    for day in days[1:]:
-        step = of_day(source, day).drop(DAY)
-        dim = scratch.stored(scd2.apply_snapshot(dim, step, F.lit(day), VERSIONS), "dim_cliente")
-    return dim
+    """The dimension load by load: each load reads and writes current versions, and adds those it closes."""
+    spark, table = source.sparkSession, scratch.new_path(source.sparkSession, "dim_cliente")
+    moved = scd2.from_history(of_day(source, days[0]), VERSIONS, day=DAY)
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in moved.schema.fields])
+    for number, day in enumerate(days):
+        if number:
+            current = generations.read_versions(spark, table, schema, scd2.CURRENT, number).where(scd2.CURRENT)
+            moved = scd2.apply_snapshot(current, of_day(source, day).drop(DAY), F.lit(day), VERSIONS)
+        generations.write_next(moved, table, after=number, partition_by=(scd2.CURRENT,))
+    return generations.read_versions(spark, table, schema, scd2.CURRENT, len(days))
 
 
 def scd2_iterated(spark, folder):
@@ -284,27 +300,21 @@ def fact_snapshot(spark, folder):
     return plain(fact.drop("sk_cliente", "sk_pais", "sk_escolaridade", "sk_estado_civil", DAY))
 
 
-def _named(fact: DataFrame, clean: DataFrame, dim: DataFrame, key: str) -> DataFrame:
-    """A domain fact with natural keys instead of hashes."""
-    owners = versions(clean).select("sk_cliente", "id_cliente")
-    return fact.join(owners, "sk_cliente").join(dim, key)
-
-
 def fact_category(spark, folder):
     clean = history(spark, folder)
-    named = _named(preset.category_fact(versioned(clean)), clean, preset.category_dim(spark), "sk_categoria")
+    named = preset.category_fact(versioned(clean), ["id_cliente"]).join(preset.category_dim(spark), "sk_categoria")
     return plain(named, "id_cliente", "sk_data_carga", "categoria", "valor_gasto")
 
 
 def fact_channel(spark, folder):
     clean = history(spark, folder)
-    named = _named(preset.channel_fact(versioned(clean)), clean, preset.channel_dim(spark), "sk_canal")
+    named = preset.channel_fact(versioned(clean), ["id_cliente"]).join(preset.channel_dim(spark), "sk_canal")
     return plain(named, "id_cliente", "sk_data_carga", "canal", "qtd_compras")
 
 
 def fact_campaign(spark, folder):
     clean = history(spark, folder)
-    named = _named(preset.campaign_fact(versioned(clean)), clean, preset.campaign_dim(spark), "sk_campanha")
+    named = preset.campaign_fact(versioned(clean), ["id_cliente"]).join(preset.campaign_dim(spark), "sk_campanha")
     return plain(named, "id_cliente", "sk_data_carga", "campanha", "aceitou")
 
 
@@ -322,13 +332,13 @@ def kpi_delta(spark, folder):
 def category_share(spark, folder):
     fact = preset.category_fact(versioned(history(spark, folder)))
     totals = report.sum_by(fact, "valor_gasto", "categoria", dim=preset.category_dim(spark), key="sk_categoria")
-    return rounded(plain(report.share_of_total(totals, "valor")), "fracao")
+    return rounded(plain(report.positioned(report.share_of_total(totals, "valor"), F.col("valor").desc(), "rotulo")), "fracao")
 
 
 def channel_share(spark, folder):
     fact = preset.channel_fact(versioned(history(spark, folder)))
     totals = report.sum_by(fact, "qtd_compras", "canal", dim=preset.channel_dim(spark), key="sk_canal")
-    return rounded(plain(report.share_of_total(totals, "valor")), "fracao")
+    return rounded(plain(report.positioned(report.share_of_total(totals, "valor"), F.col("valor").desc(), "rotulo")), "fracao")
 
 
 def campaign_rate(spark, folder):
@@ -340,21 +350,32 @@ def campaign_rate(spark, folder):
 def country_spend(spark, folder):
     clean = history(spark, folder)
     fact = preset.snapshot_fact(versioned(clean))
-    return plain(report.count_by(fact, "total_gasto", "pais", dim=preset.country_dim(clean), key="sk_pais"))
+    spend = report.count_by(fact, "total_gasto", "pais", dim=preset.country_dim(clean), key="sk_pais")
+    return plain(report.positioned(spend, F.col("gasto").desc(), "rotulo"))
 
 
-def income_band(spark, folder):
+def mean_with_gaps(spark, folder):
+    """Salaries by country: rows without one count, but take no part in the mean."""
     clean = history(spark, folder)
     fact = preset.snapshot_fact(versioned(clean))
-    out = report.by_version_attr(fact, versions(clean), "faixa_salarial", "total_gasto", key="sk_cliente")
+    means = report.mean_by(fact, "salario_anual", "pais", dim=preset.country_dim(clean), key="sk_pais")
+    return rounded(report.positioned(means, F.col("valor").desc_nulls_last(), "rotulo"), "valor")
+
+
+def income_band(spark, folder):
+    clean = history(spark, folder)
+    dim = scratch.stored(versions(clean), "dim_cliente")
+    fact = preset.snapshot_fact(preset.with_version(of_day(clean), scd2.as_of(dim, F.lit(LATEST))))
+    out = report.by_version_attr(fact, dim, "faixa_salarial", "total_gasto", key="sk_cliente")
     order = [*preset.INCOME_BANDS, preset.NOT_GIVEN]
-    return rounded(report.order_by_domain(out, report.LABEL, order), "valor")
+    return rounded(report.positioned(out, derive.position(F.col(report.LABEL), {x: i for i, x in enumerate(order)}, unknown=len(order)), report.LABEL), "valor")
 
 
 def age_band(spark, folder):
     fact = preset.snapshot_fact(versioned(history(spark, folder)))
     order = [*[label for _, label in preset.AGE_BANDS], preset.AGE_ABOVE, preset.NOT_GIVEN]
-    return rounded(report.order_by_domain(report.mean_by(fact, "total_gasto", "faixa_etaria"), report.LABEL, order), "valor")
+    place = derive.position(F.col(report.LABEL), {x: i for i, x in enumerate(order)}, unknown=len(order))
+    return rounded(report.positioned(report.mean_by(fact, "total_gasto", "faixa_etaria"), place, report.LABEL), "valor")
 
 
 def education_level(spark, folder):
@@ -363,7 +384,7 @@ def education_level(spark, folder):
     levels = report.mean_by(
         fact, "total_gasto", "escolaridade", "nivel_ordem", dim=preset.education_dim(clean), key="sk_escolaridade"
     )
-    return rounded(levels, "valor").orderBy("nivel_ordem")
+    return rounded(report.positioned(levels, "nivel_ordem", "rotulo"), "valor")
 
 
 def scd_stats(spark, folder):
@@ -372,7 +393,7 @@ def scd_stats(spark, folder):
 
 # ---------------------------------------------------------------------------- operation report
 def loads_latest(spark, folder):
-    return plain(report.loads(binding.load_state(spark, folder)).drop("mensagem"))
+    return plain(report.positioned(report.loads(binding.load_state(spark, folder)).drop("mensagem"), F.col("data_carga").desc()))
 
 
 def load_totals(spark, folder):
@@ -381,16 +402,16 @@ def load_totals(spark, folder):
 
 def recent_runs(spark, folder):
     log = binding.execution_log(spark, folder)
-    return plain(report.top_recent(log, "inicio_ts", 40, tie="execucao_id").drop("inicio_ts"))
+    latest = report.top_recent(log, "inicio_ts", 40, tie="execucao_id")
+    return plain(report.positioned(latest, F.col("inicio_ts").desc(), F.col("execucao_id").desc()).drop("inicio_ts"))
 
 
 def stage_duration(spark, folder):
     log = binding.execution_log(spark, folder)
-    return plain(
-        report.stage_duration(
-            log, run="run_id", time="inicio_ts", tie="execucao_id", stage="etapa", seconds="duracao_seg"
-        )
+    seconds = report.stage_duration(
+        log, run="run_id", time="inicio_ts", tie="execucao_id", stage="etapa", seconds="duracao_seg"
     )
+    return plain(report.positioned(seconds, "etapa"))
 
 
 def run_succeeded(spark, folder):
@@ -407,11 +428,17 @@ def error_summary(spark, folder):
 
 
 def dq_latest(spark, folder):
-    """Every load is a run here; the latest load's rule results remain."""
-    results = _rule_results(spark, folder).withColumns(
-        {"run_id": F.concat(F.lit("run-"), keys.date_key(F.col(DAY)).cast("string")), "avaliado_ts": F.col(DAY)}
+    """Every load was evaluated by two runs, a day apart; the later run of the latest load remains."""
+    runs = F.explode(F.sequence(F.lit(1), F.lit(2)))
+    results = _rule_results(spark, folder).withColumn("_vez", runs).withColumns(
+        {
+            "run_id": F.concat(F.lit("run-"), keys.date_key(F.col(DAY)).cast("string"), F.lit("-"), F.col("_vez").cast("string")),
+            "avaliado_ts": F.date_add(DAY, F.col("_vez")),
+            "falhas": F.when(F.col("_vez") == 2, F.col("falhas")).otherwise(F.col("falhas") + 1),
+        }
     )
-    return rounded(plain(report.dq_latest(results).drop("descricao", "avaliado_ts", DAY)), "pct_falha")
+    latest = report.dq_latest(scratch.stored(results, "resultados"))
+    return rounded(plain(report.positioned(latest, "severidade", "regra").drop("descricao", "avaliado_ts", "_vez", DAY)), "pct_falha")
 
 
 def dq_totals(spark, folder):
@@ -420,7 +447,7 @@ def dq_totals(spark, folder):
 
 
 def inventory(spark, folder):
-    return report.inventory({n: ("landing", table(spark, folder, n)) for n in binding.TABLES})
+    return report.positioned(report.inventory({n: ("landing", table(spark, folder, n)) for n in binding.TABLES}), "camada", "tabela")
 
 
 # Descriptions of a few columns, so that the dictionary has documented and undocumented ones.
@@ -484,13 +511,16 @@ def checks_all(spark, folder):
     facts = preset.build_facts(base)
     snapshot = facts["fato_cliente_snapshot"]
     days = _calendar_until_2029(spark, folder)
-    state = table(spark, folder, "events").agg(F.max("user_id").alias("run_id_ultimo")).withColumn("status", F.lit("SUCESSO"))
+    state = binding.load_state(spark, folder)
+    ends = state.agg(F.min("data_carga").alias("primeira"), F.max("data_carga").alias("ultima"))
+    run = table(spark, folder, "events").agg(F.max("user_id").alias("run_id_ultimo"))
     log = binding.execution_log(spark, folder)
     roles = {"sk_data_carga": (days, "sk_data"), "sk_data_cadastro": (days, "sk_data")}
     return plain(
         checks.run_all(
             [
-                checks.load_state("V01 carga com sucesso", state, "SUCESSO"),
+                checks.load_state("V01 primeira carga com sucesso", state.join(ends, F.col("data_carga") == F.col("primeira")), "SUCESSO"),
+                checks.load_state("V01 ultima carga com sucesso", state.join(ends, F.col("data_carga") == F.col("ultima")), "SUCESSO"),
                 checks.not_empty("V02 bronze nao vazia", raw),
                 checks.partition_complete("V03 bronze = silver + quarentena", raw, [clean, rejected]),
                 checks.same_count("V04 silver = snapshot", clean, snapshot),
@@ -504,23 +534,24 @@ def checks_all(spark, folder):
                 checks.valid_interval("V10 vigencia valida", dim),
                 checks.orphans("V11 sem chave orfa", snapshot, _dims(spark, clean, dim)),
                 checks.orphans("V12 sem data orfa", snapshot, roles),
-                checks.no_failed_stage("V13 sem etapa com erro", log, state),
+                checks.no_failed_stage("V13 sem etapa com erro", log, run),
                 checks.no_gap_or_overlap("V14 versoes contiguas", dim, "id_cliente"),
+                checks.unique_key("V15 chave de versao unica", dim, "sk_cliente"),
             ]
         )
     )
 
 
 def orphan_keys(spark, folder):
-    """Snapshot rows without a member: countries known from the first load only, a calendar up to 2029."""
+    """Snapshot rows without a member: a country dimension of four regions, and a calendar up to 2029."""
     clean = history(spark, folder)
-    fact = preset.snapshot_fact(versioned(clean))
-    few = of_day(clean, DAYS[0]).where(F.col("id_cliente") < 5)
+    fact = scratch.stored(preset.snapshot_fact(versioned(clean)), "fato")
+    four = table(spark, folder, "nation").where("n_regionkey < 4").select(F.col("n_name").alias("pais"))
     days = _calendar_until_2029(spark, folder)
     return checks.orphan_keys(
         fact,
         {
-            "sk_pais": (preset.country_dim(few), "sk_pais"),
+            "sk_pais": (preset.country_dim(four), "sk_pais"),
             "sk_escolaridade": (preset.education_dim(clean), "sk_escolaridade"),
             "sk_data_carga": (days, "sk_data"),
             "sk_data_cadastro": (days, "sk_data"),
@@ -529,19 +560,17 @@ def orphan_keys(spark, folder):
 
 
 # ---------------------------------------------------------------------------- table changes
-def _customer_totals(spark, folder, *, shipped: bool) -> DataFrame:
-    """Orders per customer, of all orders or of those with status F."""
-    orders = table(spark, folder, "orders")
-    if shipped:
-        orders = orders.where(F.col("o_orderstatus") == "F")
-    return orders.groupBy(F.col("o_custkey").alias("id")).agg(
+def _customer_totals(spark, folder) -> DataFrame:
+    """Orders per customer; those from 2001 on go to keys of their own, which no table has yet."""
+    key = F.when(F.year("o_orderdate") >= 2001, F.col("o_custkey") + 10_000_000).otherwise(F.col("o_custkey"))
+    return table(spark, folder, "orders").groupBy(key.alias("id")).agg(
         F.count(F.lit(1)).alias("pedidos"), F.max(F.col("o_orderdate").cast("date")).cast("string").alias("ultimo")
     )
 
 
 def _customer_table(spark, folder) -> DataFrame:
-    """Customers with an odd key, with a creation mark."""
-    return table(spark, folder, "customer").where(F.col("c_custkey") % 2 == 1).select(
+    """All customers, before any order was counted."""
+    return table(spark, folder, "customer").select(
         F.col("c_custkey").alias("id"),
         F.lit(0).cast("bigint").alias("pedidos"),
         F.lit(None).cast("string").alias("ultimo"),
@@ -549,38 +578,43 @@ def _customer_table(spark, folder) -> DataFrame:
 
 
 def merge_insert_new(spark, folder):
-    return merge.insert_new(_customer_table(spark, folder), _customer_totals(spark, folder, shipped=True), ["id"])
+    return merge.insert_new(_customer_table(spark, folder), _customer_totals(spark, folder), ["id"])
 
 
 def merge_upsert(spark, folder):
-    return merge.upsert(_customer_table(spark, folder), _customer_totals(spark, folder, shipped=True), ["id"])
+    return merge.upsert(_customer_table(spark, folder), _customer_totals(spark, folder), ["id"])
 
 
 def merge_upsert_keep(spark, folder):
-    """Upsert of the load state by new deliveries: counts and the first sight of a load survive."""
+    """Upsert of the load state by deliveries, every second one of a later day: counts and the first sight of a load survive."""
     target = binding.load_state(spark, folder).select(
         "data_carga", "impressao", "status", "linhas_silver", F.lit("antes").alias("criado_em")
     )
-    source = binding.deliveries(spark, folder).where(F.col("_menor") % 2 == 0).select(
-        "data_carga", "impressao", F.lit("PENDENTE").alias("status"), F.lit("agora").alias("criado_em")
+    later = F.when(F.col("_menor") % 2 == 0, F.col("data_carga")).otherwise(F.date_add("data_carga", 10_000))
+    source = binding.deliveries(spark, folder).select(
+        later.alias("data_carga"), "impressao", F.lit("PENDENTE").alias("status"), F.lit("agora").alias("criado_em")
     )
     return plain(merge.upsert(target, source, ["data_carga"], keep=["criado_em"]))
 
 
 def merge_update_columns(spark, folder):
-    changes = _customer_totals(spark, folder, shipped=True).where(F.col("pedidos") > 1)
+    """Counts of one order are missing in the changes, and leave the column as it is."""
+    several = F.when(F.col("pedidos") > 1, F.col("pedidos"))
+    changes = _customer_totals(spark, folder).withColumn("pedidos", several)
     return merge.update_columns(_customer_table(spark, folder), changes, ["id"], allowed=["pedidos", "ultimo"])
 
 
 def slice_replace(spark, folder):
-    """Three slices of orders by year; one is replaced by fewer rows, one by none."""
+    """Slices of orders by year; the second is replaced by some of its own rows, the third by none."""
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", F.year("o_orderdate").alias("ano"))
+    bounds = orders.agg(F.min("ano").alias("a"), F.max("ano").alias("b")).first()
     target = scratch.new_path(spark, "fatias")
-    days = {1996: date(1996, 1, 1), 1997: date(1997, 1, 1), 1998: date(1998, 1, 1)}
-    for year, day in days.items():
-        slices.replace_slice(orders.where(F.col("ano") == year), target, day)
-    slices.replace_slice(orders.where((F.col("ano") == 1997) & (F.col("o_orderstatus") == "F")), target, days[1997])
-    slices.replace_slice(orders.where((F.col("ano") == 1998) & (F.col("o_orderstatus") == "nenhum")), target, days[1998])
+    years = range(bounds["a"], bounds["b"] + 1) if bounds["a"] else []
+    for year in years:
+        slices.replace_slice(orders.where(F.col("ano") == year), target, date(year, 1, 1))
+    for year, status in zip(years[1:3], ("F", "nenhum")):
+        own = slices.read_slice(spark, target, date(year, 1, 1), orders.schema)
+        slices.replace_slice(own.where(F.col("o_orderstatus") == status), target, date(year, 1, 1))
     return plain(slices.read_table(spark, target, orders.schema))
 
 
@@ -612,7 +646,7 @@ def load_fingerprint(spark, folder):
 
 def _plan(spark, folder, request: loads.Request) -> DataFrame:
     candidates = binding.deliveries(spark, folder).select("data_carga", "arquivo", "impressao")
-    return plain(loads.plan(candidates, binding.load_state(spark, folder), request))
+    return plain(loads.plan(candidates, binding.load_state(spark, folder, some=True), request))
 
 
 def load_plan(spark, folder):
@@ -623,6 +657,13 @@ def load_plan_redo(spark, folder):
     return _plan(spark, folder, loads.Request(day=date(1999, 3, 15), reprocess=True))
 
 
+def load_plan_copies(spark, folder):
+    """Every registered load that a planned one repeats."""
+    candidates = binding.deliveries(spark, folder).select("data_carga", "arquivo", "impressao")
+    state = binding.load_state(spark, folder, some=True)
+    return plain(loads.copies_of(loads.plan(candidates, state, loads.Request()), state))
+
+
 def load_copies(spark, folder):
     return plain(loads.copies(binding.load_state(spark, folder)))
 
@@ -684,13 +725,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         calendar, dim_members, dim_marital, dim_ordered, dim_static, bands, surrogate_keys,
         scd2_history, scd2_iterated, scd2_same_day_fix, scd2_as_of,
         fact_snapshot, fact_category, fact_channel, fact_campaign,
-        kpi_delta, category_share, channel_share, campaign_rate, country_spend, income_band,
+        kpi_delta, category_share, channel_share, campaign_rate, country_spend, mean_with_gaps, income_band,
         age_band, education_level, scd_stats,
         loads_latest, load_totals, recent_runs, stage_duration, run_succeeded, recent_errors,
         error_summary, dq_latest, dq_totals, inventory, profile, dictionary_coverage,
         checks_all, orphan_keys,
         merge_insert_new, merge_upsert, merge_upsert_keep, merge_update_columns, slice_replace,
         load_manifest, load_fingerprint, load_plan, load_plan_redo, load_copies, load_advance,
-        last_success, loads_in_state, stage_active, resolve_params,
+        last_success, load_plan_copies, loads_in_state, stage_active, resolve_params,
     )
 }

@@ -149,7 +149,8 @@ def _orphan(column: str, condition: str) -> str:
 def _checks() -> str:
     not_in_days = "cast(strftime({c}, '%Y-%m-%d') as date) not in (select d from datas)"
     parts = {
-        "V01 carga com sucesso": ("true", "'SUCESSO'"),
+        "V01 primeira carga com sucesso": ("e1 = 'SUCESSO'", "e1"),
+        "V01 ultima carga com sucesso": ("e2 = 'SUCESSO'", "e2"),
         "V02 bronze nao vazia": ("b > 0", "b"),
         "V03 bronze = silver + quarentena": ("b = s + q", "b || ' / ' || (s + q)"),
         "V04 silver = snapshot": ("s = f", "s || ' / ' || f"),
@@ -159,10 +160,11 @@ def _checks() -> str:
         "V08 gasto igual nos dois fatos": ("tf = tg", "tf || ' / ' || tg"),
         "V09 uma versao atual": ("v9 = 0", "v9"),
         "V10 vigencia valida": ("v10 = 0", "v10"),
-        "V11 sem chave orfa": ("true", "0"),
+        "V11 sem chave orfa": ("v11 = 0", "v11"),
         "V12 sem data orfa": ("v12 = 0", "v12"),
         "V13 sem etapa com erro": ("v13 = 0", "v13"),
         "V14 versoes contiguas": ("v14 = 0", "v14"),
+        "V15 chave de versao unica": ("v15 = 0", "v15"),
     }
     long = [
         o.domain_fact(preset.CATEGORIES, "valor_gasto", "categoria", "decimal(12,2)", name="lg"),
@@ -174,7 +176,7 @@ def _checks() -> str:
         for n, (ok, d) in parts.items()
     )
     d3 = o.day(LATEST)
-    return f"""{o.star()}, {','.join(long)}, {DATES_UNTIL_2029}, {LOG},
+    return f"""{o.star()}, {','.join(long)}, {DATES_UNTIL_2029}, {LOG}, {o.deliveries()}, {o.load_state()},
 seguinte as (select *, lead(inicio_vigencia) over (partition by id_cliente order by inicio_vigencia) as prox from dim),
 n as (select
   (select count(*) from raw where dia = {d3}) as b, (select count(*) from silver where dia = {d3}) as s,
@@ -184,19 +186,23 @@ n as (select
   (select cast(cast(sum(valor_gasto) as decimal(38,2)) as varchar) from lg) as tg,
   (select count(*) from (select id_cliente from dim where flag_atual group by 1 having count(*) > 1)) as v9,
   (select count(*) from dim where inicio_vigencia > fim_vigencia) as v10,
-  (select count(*) from fato where {not_in_days.format(c='data_cadastro')}) + (select count(*) from fato where {not_in_days.format(c='dia')}) as v12,
+  (select count(*) from fato where {not_in_days.format(c='data_cadastro')} or {not_in_days.format(c='dia')}) as v12,
+  (select status from estado order by data_carga limit 1) as e1, (select status from estado order by data_carga desc limit 1) as e2,
+  (select count(*) from fato f where id_cliente not in (select id_cliente from dim) or pais is null or escolaridade is null or estado_civil is null) as v11,
+  (select count(*) from (select id_cliente, inicio_vigencia from dim group by all having count(*) > 1)) as v15,
   (select count(*) from log where status = 'ERRO' and run_id = (select max(user_id) from events)) as v13,
   (select count(*) from seguinte where prox <> cast(fim_vigencia + interval 1 day as date)) as v14)
 {rows}"""
 
 
-FEW = "select pais from silver where dia = {d} and id_cliente < 5 union select 'Não Informado'".format(d=o.day(DAYS[0]))
+FEW = "select n_name as pais from nation where n_regionkey < 4 union select 'Não Informado'"
 
 TOTALS = """
 tot as (
-  select o_custkey as id, count(*) as pedidos, strftime(max(o_orderdate), '%Y-%m-%d') as ultimo
-  from orders where o_orderstatus = 'F' group by 1),
-cli as (select c_custkey as id, cast(0 as bigint) as pedidos, cast(null as varchar) as ultimo from customer where c_custkey % 2 = 1)"""
+  select case when extract(year from o_orderdate) >= 2001 then o_custkey + 10000000 else o_custkey end as id,
+    count(*) as pedidos, strftime(max(o_orderdate), '%Y-%m-%d') as ultimo
+  from orders group by 1),
+cli as (select c_custkey as id, cast(0 as bigint) as pedidos, cast(null as varchar) as ultimo from customer)"""
 
 
 def _plan(day=None, redo: bool = False) -> str:
@@ -204,13 +210,13 @@ def _plan(day=None, redo: bool = False) -> str:
     where = "true" if day is None else f"e.data_carga = {o.day(day)}"
     attempts = "1" if redo else "coalesce(s.tentativas, 0) + 1"
     done = "coalesce(s.status = 'SUCESSO', false)" + (" and false" if redo else "")
-    return f"""{o.state()},
+    return f"""{o.state(some=True)},
 ult as (select max(data_carga) as ultima from estado where status = 'SUCESSO'),
 pares as (
-  select e.data_carga, min(x.data_carga) as copia from entregas e join estado x
+  select e.data_carga, min(x.data_carga) as copia, count(*) as copias from entregas e join estado x
   on x.impressao = e.impressao and x.data_carga <> e.data_carga group by 1),
 base as (
-  select e.data_carga, e.arquivo, e.impressao, s.status as st, s.tentativas as tt, u.ultima, p.copia,
+  select e.data_carga, e.arquivo, e.impressao, s.status as st, s.tentativas as tt, u.ultima, p.copia, p.copias,
     {done} as feito, {auto} and coalesce(s.status = 'ERRO_FORA_DE_ORDEM', false) as fora,
     {auto} and coalesce(s.status like 'ERRO%', false) and coalesce(s.tentativas, 0) >= 3 as cansado,
     s.data_carga is null and coalesce(e.data_carga < u.ultima, false) as tarde, {attempts} as nova
@@ -223,6 +229,7 @@ select {o.iso('data_carga')} as data_carga, arquivo, impressao,
   cast(case when pula then tt else nova end as integer) as tentativas,
   case when not pula and tarde then 'Anterior a ultima carga com sucesso (' || {o.iso('ultima')} || ')' end as mensagem,
   {o.iso("case when not pula and not tarde then copia end")} as copia_de,
+  case when not pula and not tarde then coalesce(copias, 0) else 0 end as copias,
   concat_ws(',', case when not feito and not fora and cansado then 'MAX_TENTATIVAS' end,
     case when not pula and tarde then 'ARQUIVO_FORA_DE_ORDEM' end,
     case when not pula and not tarde and copia is not null then 'ARQUIVO_CONTEUDO_DUPLICADO' end) as avisos
@@ -230,14 +237,19 @@ from dec"""
 
 
 def _fingerprint() -> str:
-    # The first 60 bits of the digest, digit by digit: the integer value of 15 hex characters.
-    digits = " + ".join(
-        f"cast(strpos('0123456789abcdef', substr(h, {i + 1}, 1)) - 1 as decimal(38,0)) * {16 ** (14 - i)}" for i in range(15)
-    )
+    # The digest digit by digit, in five numbers of up to 13 hex characters.
+    def number(first: int, last: int) -> str:
+        return " + ".join(
+            f"cast(strpos('0123456789abcdef', substr(h, {i + 1}, 1)) - 1 as decimal(38,0)) * {16 ** (last - 1 - i)}" for i in range(first, last)
+        )
+
+    parts = [(at, min(at + 13, 64)) for at in range(0, 64, 13)]
+    digits = ", ".join(f"{number(a, b)} as v{a}" for a, b in parts)
+    sums = " || '-' || ".join(f"cast(sum(v{a}) as varchar)" for a, _ in parts)
     return f"""with {o.raw(DAYS)},
 hs as (select dia, sha256({o.text_of(preset.COLUMNS, '||')}) as h from raw),
-vs as (select dia, {digits} as v from hs)
-select {DIA}, count(*) || '-' || cast(sum(v) as varchar) as impressao from vs group by dia"""
+vs as (select dia, {digits} from hs)
+select {DIA}, count(*) || '-' || {sums} as impressao from vs group by dia"""
 
 
 def _profile() -> str:
@@ -261,13 +273,33 @@ def _inventory() -> str:
     )
 
 
+def _placed(sql: str, order: str) -> str:
+    return f"select *, cast(row_number() over (order by {order}) as integer) as posicao from ({sql})"
+
+
+def _surrogate_keys() -> str:
+    text = {"pais": "pais", "escolaridade": "escolaridade", "versao": "id_cliente || '/' || dia", "data_cadastro": "cast(data_cadastro as varchar)"}
+    parts = " union all ".join(
+        f"select {o.quoted(n)} as dimensao, count(distinct {c}) as valores, 1::bigint as chaves_por_valor, count(distinct {c}) as chaves, 1::bigint as valores_por_chave, "
+        + ("min(cast(strftime(data_cadastro, '%Y%m%d') as bigint)) as menor, max(cast(strftime(data_cadastro, '%Y%m%d') as bigint)) as maior" if n == "data_cadastro" else "null::bigint as menor, null::bigint as maior")
+        + " from silver"
+        for n, c in text.items()
+    )
+    return f"{o.through('silver', DAYS)} {parts}"
+
+
+def _domain_order(labels) -> str:
+    whens = " ".join(f"when {o.quoted(x)} then {i}" for i, x in enumerate(labels))
+    return f"case rotulo {whens} else {len(labels)} end, rotulo"
+
+
 def texts() -> dict[str, str]:
     f = o.through
     d3 = o.day(LATEST)
-    return {
+    out = {
         "customer_snapshot": f"{f('raw')} select {RAW}, {DIA}, seq from raw",
         "contract_projection": f"{f('raw')} select {RAW} from raw",
-        "audit_columns": f"{f('raw')} select id_cliente, {DIA}, 'marketing_20001231.csv' as _arquivo_origem, 'run-1' as _run_id, seq from raw",
+        "audit_columns": f"{f('raw')} select id_cliente, {DIA}, 'marketing_{LATEST:%Y%m%d}.csv' as _arquivo_origem, 'run-1' as _run_id, seq from raw",
         "row_hash": f"{f('raw')} select id_cliente, seq, sha256({o.text_of(preset.COLUMNS, '||')}) as hash_linha from raw",
         "typed_customers": f"{f('typed')} select {TYPED}, {DIA}, seq, id_cliente_raw from typed",
         "quality_accepted": f"{f('silver')} select {_plain(CLEAN)}, hash_conteudo, dq_alertas, {DIA} from silver",
@@ -281,6 +313,7 @@ def texts() -> dict[str, str]:
         "calendar": CALENDAR,
         "dim_members": f"{f('silver', (DAYS[0], LATEST))} {_members('pais')}",
         "dim_marital": f"{f('silver')} {_members('estado_civil')}",
+        "surrogate_keys": _surrogate_keys(),
         "dim_ordered": f"{f('silver')} select escolaridade, {_level('escolaridade')} as nivel_ordem from ({_members('escolaridade')})",
         "dim_static": "with fixo(cod_categoria, categoria) as (values "
         + ", ".join(f"({o.quoted(c)}, {o.quoted(t)})" for c, (t, _) in preset.CATEGORIES.items())
@@ -302,6 +335,7 @@ def texts() -> dict[str, str]:
         "select rotulo, v as valor, round(cast(v as double) / (select cast(sum(v) as double) from t), 6) as fracao from t",
         "campaign_rate": f"{_domain(preset.CAMPAIGNS, 'aceitou', 'campanha', 'integer')} select campanha as rotulo, round(avg(aceitou), 6) as valor, sum(aceitou)::bigint as n from longo group by 1",
         "country_spend": f"{o.star()} select pais as rotulo, count(*) as valor, cast(sum(total_gasto) as double) as gasto from fato group by 1",
+        "mean_with_gaps": f"{o.star()} select pais as rotulo, count(*) as n, round(avg(cast(salario_anual as double)), 6) as valor from fato group by 1",
         "income_band": f"{o.star()} select faixa_salarial as rotulo, count(*) as n, round(avg(cast(total_gasto as double)), 6) as valor from fato group by 1",
         "age_band": f"{o.star()} select faixa_etaria as rotulo, count(*) as n, round(avg(cast(total_gasto as double)), 6) as valor from fato group by 1",
         "education_level": f"{o.star()} select escolaridade as rotulo, {_level('escolaridade')} as nivel_ordem, count(*) as n, round(avg(cast(total_gasto as double)), 6) as valor from fato group by 1, 2",
@@ -310,13 +344,13 @@ def texts() -> dict[str, str]:
         "load_totals": f"{o.state()}, u as (select * from estado where status = 'SUCESSO' order by data_carga desc limit 1) "
         "select sum(case when status = 'SUCESSO' then 1 else 0 end)::bigint as concluidas, sum(case when status like 'ERRO%' then 1 else 0 end)::bigint as com_erro, "
         "round(coalesce((select cast(linhas_quarentena as double) / linhas_bronze from u), 0), 6) as pct_quarentena from estado",
-        "recent_runs": f"with {LOG} select execucao_id, run_id, etapa, status, cast(duracao_seg as double) as duracao_seg from (select * from log order by inicio_ts desc, execucao_id desc limit 40)",
+        "recent_runs": f"with {LOG} select execucao_id, run_id, etapa, status, cast(duracao_seg as double) as duracao_seg, cast(row_number() over (order by inicio_ts desc, execucao_id desc) as integer) as posicao from (select * from log order by inicio_ts desc, execucao_id desc limit 40)",
         "stage_duration": f"with {LOG} select etapa, cast(round(sum(duracao_seg), 1) as double) as seg from log where run_id = (select run_id from ultima) group by 1",
         "run_succeeded": f"with {LOG} select run_id, cast(bool_and(status = 'SUCESSO') as integer) as sucesso from log where run_id = (select run_id from ultima) group by 1",
         "recent_errors": f"with {ERRORS} select erro_id, run_id, severidade, mensagem from (select * from erros order by erro_ts desc, erro_id desc limit 15)",
         "error_summary": f"with {ERRORS} select severidade, count(*) as n from erros group by 1",
         "dq_latest": f"{_summary(DAYS)} select regra, severidade, acao, total, falhas, round(falhas * 100.0 / total, 6)::double as pct_falha, "
-        f"'run-' || strftime(dia, '%Y%m%d') as run_id from res where dia = {d3}",
+        f"'run-' || strftime(dia, '%Y%m%d') || '-2' as run_id from res where dia = {d3}",
         "dq_totals": f"{_summary(DAYS)} select sum(case when severidade = 'BLOQUEANTE' then falhas else 0 end)::bigint as bloqueios, "
         "sum(case when severidade = 'ALERTA' and falhas > 0 then 1 else 0 end)::bigint as alertas_disparados, "
         f"sum(case when severidade = 'ALERTA' then 1 else 0 end)::bigint as alertas from res where dia = {d3}",
@@ -338,15 +372,15 @@ def texts() -> dict[str, str]:
         ),
         "merge_insert_new": f"with {TOTALS} select * from cli union all select * from tot where id not in (select id from cli)",
         "merge_upsert": f"with {TOTALS} select * from tot union all select * from cli where id not in (select id from tot)",
-        "merge_upsert_keep": f"{o.state()}, n as (select * from entregas where menor % 2 = 0) "
+        "merge_upsert_keep": f"{o.state()}, n as (select * replace (case when menor % 2 = 0 then data_carga else cast(data_carga + interval 10000 day as date) end as data_carga) from entregas) "
         f"select {o.iso('coalesce(n.data_carga, e.data_carga)')} as data_carga, coalesce(n.impressao, e.impressao) as impressao, "
         "case when n.data_carga is not null then 'PENDENTE' else e.status end as status, e.linhas_silver, "
         "case when e.data_carga is not null then 'antes' else 'agora' end as criado_em "
         "from estado e full outer join n on n.data_carga = e.data_carga",
         "merge_update_columns": f"with {TOTALS} select c.id, coalesce(t.pedidos, c.pedidos) as pedidos, coalesce(t.ultimo, c.ultimo) as ultimo "
-        "from cli c left join (select * from tot where pedidos > 1) t on t.id = c.id",
-        "slice_replace": "select o_orderkey, o_orderstatus, cast(extract(year from o_orderdate) as integer) as ano, extract(year from o_orderdate) || '-01-01' as dia "
-        "from orders where extract(year from o_orderdate) = 1996 or (extract(year from o_orderdate) = 1997 and o_orderstatus = 'F')",
+        "from cli c left join (select * replace (case when pedidos > 1 then pedidos end as pedidos) from tot) t on t.id = c.id",
+        "slice_replace": "with o as (select o_orderkey, o_orderstatus, cast(extract(year from o_orderdate) as integer) as ano from orders), a as (select min(ano) as y from o) "
+        "select o_orderkey, o_orderstatus, ano, ano || '-01-01' as dia from o, a where ano not in (y + 1, y + 2) or (ano = y + 1 and o_orderstatus = 'F')",
         "load_manifest": f"with {o.deliveries()}, nomes as (select menor as tamanho_bytes, case menor % 11 "
         "when 1 then 'vendas_' || strftime(data_carga, '%Y%m%d') || '.csv' when 2 then 'marketing_' || strftime(data_carga, '%Y-%m-%d') || '.csv' "
         "when 3 then 'marketing_' || strftime(data_carga, '%Y') || '1340.csv' when 4 then 'MARKETING_' || strftime(data_carga, '%Y%m%d') || '.CSV' "
@@ -358,6 +392,8 @@ def texts() -> dict[str, str]:
         "load_fingerprint": _fingerprint(),
         "load_plan": _plan(),
         "load_plan_redo": _plan(queries.date(1999, 3, 15), redo=True),
+        "load_plan_copies": _plan().split("select " + o.iso("data_carga") + " as data_carga, arquivo")[0]
+        + f"select {o.iso('d.data_carga')} as data_carga, {o.iso('e.data_carga')} as copia from dec d join estado e on e.impressao = d.impressao and e.data_carga <> d.data_carga where not d.pula and not d.tarde",
         "load_copies": f"{o.state()} select {o.iso('data_carga')} as data_carga, impressao, cargas from "
         "(select *, count(*) over (partition by impressao) as cargas from estado) where cargas > 1",
         "load_advance": f"{o.state()}, j as (select e.*, n.menor, n.linhas, e.status = 'BRONZE_OK' as espera, n.menor % 4 <> 0 as ok, n.arquivo as arq "
@@ -373,3 +409,17 @@ def texts() -> dict[str, str]:
         "resolve_params": "with t as (select l_partkey as k, cast(max(l_quantity) as integer) as q, count(*) as n from lineitem group by 1) "
         "select 'limite_' || p_partkey as parametro, cast(case when n % 2 = 0 then q else p_size end as varchar) as valor from part left join t on k = p_partkey",
     }
+    places = {
+        "category_share": "valor desc, rotulo",
+        "channel_share": "valor desc, rotulo",
+        "country_spend": "gasto desc, rotulo",
+        "mean_with_gaps": "valor desc nulls last, rotulo",
+        "income_band": _domain_order([*preset.INCOME_BANDS, preset.NOT_GIVEN]),
+        "age_band": _domain_order([*[label for _, label in preset.AGE_BANDS], preset.AGE_ABOVE, preset.NOT_GIVEN]),
+        "education_level": "nivel_ordem, rotulo",
+        "loads_latest": "data_carga desc",
+        "stage_duration": "etapa",
+        "dq_latest": "severidade, regra",
+        "inventory": "camada, tabela",
+    }
+    return out | {name: _placed(out[name], order) for name, order in places.items()}

@@ -1,4 +1,9 @@
-"""Tables as folders of load slices: ``<table>/_data_carga=<date>``."""
+"""Tables as folders of load slices: ``<table>/_data_carga=<date>/<version>``.
+
+A slice is replaced by writing its next version beside the one that counts. The newest version with the job's
+success marker is what readers take, so a job that dies changes nothing, a frame may replace the slice it was
+read from, and an empty version empties the slice. The version before the newest stays for readers at work.
+"""
 
 from __future__ import annotations
 
@@ -9,30 +14,64 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SLICE = "_data_carga"
+VERSION = "_versao"
+PART = "_execucao"
 
 
 def slice_path(table: str, day: date) -> str:
     return f"{table}/{SLICE}={day.isoformat()}"
 
 
-def replace_slice(df: DataFrame, table: str, day: date) -> int:
-    """Replaces the rows of one load and returns how many there are now.
+def _finished(spark: SparkSession, pattern: str) -> list[str]:
+    """Folders under a pattern whose job has ended well, from one listing."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{pattern}/_SUCCESS")
+    files = marker.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [x.getPath().getParent().toString() for x in files.globStatus(marker) or ()]
+
 
-    Writes to the slice's own folder: a dynamic partition overwrite would leave the old rows in
-    place when the new slice is empty. The count comes from the file footers.
-    """
-    path = slice_path(table, day)
+def _number(path: str) -> int:
+    return int(path.rsplit("=", 1)[1])
+
+
+def replace_slice(df: DataFrame, table: str, day: date) -> int:
+    """Replaces the rows of one load and returns how many there are now; the count comes from the file footers."""
+    spark, path = df.sparkSession, slice_path(table, day)
+    before = sorted(_finished(spark, f"{path}/{VERSION}=*"), key=_number)
+    version = f"{path}/{VERSION}={_number(before[-1]) + 1 if before else 1}"
     rows = df.drop(SLICE)
-    rows.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(rows.schema).parquet(path).count()
+    rows.write.mode("overwrite").parquet(version)
+    for old in before[:-1]:
+        gone = spark._jvm.org.apache.hadoop.fs.Path(old)
+        gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
+    return spark.read.schema(rows.schema).parquet(version).count()
+
+
+def append_part(df: DataFrame, table: str, day: date, part: str) -> None:
+    """Adds the rows of one run to a load; the same run again replaces its own rows only."""
+    df.drop(SLICE).write.mode("overwrite").parquet(f"{slice_path(table, day)}/{PART}={part}")
+
+
+def _read(spark: SparkSession, table: str, paths: list[str], schema: T.StructType) -> DataFrame:
+    fields = [f for f in schema.fields if f.name not in (SLICE, VERSION, PART)] + [T.StructField(SLICE, T.DateType())]
+    wanted = T.StructType(fields)
+    if not paths:
+        return spark.createDataFrame([], wanted)
+    return spark.read.schema(wanted).option("basePath", table).parquet(*paths).select(*wanted.fieldNames())
 
 
 def read_table(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:
-    """All slices; the schema is the contract, it is never inferred."""
-    fields = [f for f in schema.fields if f.name != SLICE] + [T.StructField(SLICE, T.DateType())]
-    return spark.read.schema(T.StructType(fields)).parquet(table)
+    """All slices in their newest version; the schema is the contract, it is never inferred."""
+    newest: dict[str, str] = {}
+    for path in sorted(_finished(spark, f"{table}/{SLICE}=*/{VERSION}=*"), key=_number):
+        newest[path.rsplit("/", 1)[0]] = path
+    return _read(spark, table, list(newest.values()), schema)
 
 
 def read_slice(spark: SparkSession, table: str, day: date, schema: T.StructType) -> DataFrame:
     """One load's rows: the filter on the slice column prunes to its folder."""
     return read_table(spark, table, schema).where(F.col(SLICE) == F.lit(day))
+
+
+def read_parts(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:
+    """The rows of all runs that were appended."""
+    return _read(spark, table, _finished(spark, f"{table}/{SLICE}=*/{PART}=*"), schema)

@@ -62,7 +62,10 @@ def test_failed_gate_keeps_quarantine_but_no_accepted_rows(spark, warehouse, tmp
         warehouse.process(file, D1, "r1")
     kept = spark.read.parquet(warehouse.path("quarentena"))
     assert [r["id_cliente_raw"] for r in kept.collect()] == ["2"]
-    assert spark.read.parquet(warehouse.path("dq_resultado")).count() == 11
+    assert warehouse.rule_results().count() == 11
+    with pytest.raises(quality.RejectionLimitExceeded):
+        warehouse.process(file, D1, "r2")
+    assert {(r["_run_id"], r["count"]) for r in warehouse.rule_results().groupBy("_run_id").count().collect()} == {("r1", 11), ("r2", 11)}
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(warehouse.path("silver")).count()
 
