@@ -39,7 +39,7 @@ WORD = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 #: Text of these characters only (none of them is white space but the space) splits by the next expression as the vocabulary does.
 LETTERS = "A-Za-zÀ-ÖØ-öø-ſ"
 PLAIN = re.compile(f"[ -~{LETTERS}]+")
-PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[0-9]+| ?[^ 0-9{LETTERS}]+")
+PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[0-9]+| ?[^ 0-9{LETTERS}]+| +")
 
 
 def compiled(words: Iterable[bytes], ids: Iterable[list[int]]) -> bytes:

@@ -103,7 +103,8 @@ def repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, crowd: int = 20
     c = F.col
     key = ["least", "whole", "number"]
     marks = stored(_marks(docs.where("doc_id is not null"), span, gram), "marks")
-    shared = marks.groupBy("least").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("least")
+    # Stored, so that the join below reads two plain shuffles, of which a hot partition can be split.
+    shared = stored(marks.groupBy("least").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("least"), "repeated")
     marks = stored(marks.join(shared, "least"), "shared")
     contents = stored(
         marks.groupBy(*key).agg(F.min(F.struct("doc_id", "row", "first")).alias("at")).select(*key, "at.*"), "contents"
