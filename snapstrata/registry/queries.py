@@ -121,6 +121,24 @@ def audit_columns(spark, folder):
     return plain(numbered, "id_cliente", DAY, ingest.SOURCE_FILE, ingest.RUN, ingest.ROW_SEQ)
 
 
+def delimited_file(spark, folder):
+    """The snapshot as a delivered file: written with the headers of the contract, read back as text, with audit columns.
+
+    An empty text comes back as NULL, as a file does not tell the two apart.
+    """
+    headers = {new: old for old, new in preset.CONTRACT.items()}
+    path = scratch.new_path(spark, "entrega")
+    sep, encoding = preset.PARAMETERS.get("csv_separador"), preset.PARAMETERS.get("csv_encoding")
+    delivered = binding.customer_snapshots(spark, folder).select(*[F.col(c).alias(headers[c]) for c in preset.COLUMNS])
+    delivered.write.csv(path, header=True, sep=sep, encoding=encoding)
+    rows, _ = ingest.apply_contract(ingest.read_delimited(spark, path, sep=sep, encoding=encoding), preset.CONTRACT)
+    audited = ingest.add_audit(rows, load_day=F.lit(LATEST), source=F.lit("entrega.csv"), run_id="run-1")
+    stored = scratch.stored(audited, "bronze")
+    ingest.require_rows(stored.count(), path)
+    numbers = stored.agg(F.count_distinct(ingest.ROW_SEQ).alias("sequencias"))
+    return plain(stored.join(F.broadcast(numbers)), *preset.COLUMNS, DAY, ingest.SOURCE_FILE, ingest.ROW_HASH, "sequencias")
+
+
 def row_hash(spark, folder):
     raw = binding.customer_snapshots(spark, folder)
     return plain(raw, "id_cliente", ingest.ROW_SEQ, ingest.row_hash(preset.COLUMNS).alias("hash_linha"))
@@ -137,7 +155,10 @@ def quality_accepted(spark, folder):
 
 
 def quality_quarantine(spark, folder):
-    return plain(preset.quarantined(checked(spark, folder)).drop("linha_original"))
+    """With fields of the row as it came, out of its JSON."""
+    rejected = preset.quarantined(checked(spark, folder))
+    original = [F.get_json_object("linha_original", f"$.{c}").alias(f"original_{c}") for c in ("id_cliente", "data_cadastro", "salario_anual", "pais")]
+    return plain(rejected.select("*", *original).drop("linha_original"))
 
 
 def _rule_results(spark, folder) -> DataFrame:
@@ -192,6 +213,15 @@ def calendar(spark, folder):
     return plain(dims.calendar(days, "inicio", "fim", months=preset.MONTHS, weekdays=preset.WEEKDAYS))
 
 
+def calendar_kept(spark, folder):
+    """A calendar that is there is not filled again, whatever the new range."""
+    ends = {"inicio": F.min("o_orderdate").cast("date"), "fim": F.max("o_orderdate").cast("date")}
+    days = table(spark, folder, "orders").agg(*[c.alias(n) for n, c in ends.items()])
+    make = lambda last: dims.calendar(days, "inicio", last, months=preset.MONTHS, weekdays=preset.WEEKDAYS)
+    first = scratch.stored(dims.calendar_if_empty(make("fim").where("false"), make("fim")), "calendario")
+    return plain(dims.calendar_if_empty(first, make(F.date_add("fim", 400))))
+
+
 def dim_members(spark, folder):
     """Countries after two loads: the second adds to the first."""
     clean = scratch.stored(silver(spark, folder, (DAYS[0], LATEST), ["pais", DAY]).distinct(), "paises")
@@ -329,6 +359,16 @@ def kpi_delta(spark, folder):
     return rounded(report.period_delta(report.kpi(fact), KPIS, period="sk_data_carga"), "valor", "anterior", "variacao_pct")
 
 
+def kpi_newest_two(spark, folder):
+    """The newest successful load against the successful one before; the load between them has failed."""
+    clean = history(spark, folder)
+    fact = preset.snapshot_fact(preset.with_version(clean, versions(clean)))
+    status = F.when(F.col(DAY) == F.lit(DAYS[1]), "ERRO_SILVER").otherwise("SUCESSO")
+    state = clean.groupBy(F.col(DAY)).agg(F.count("*").alias("linhas")).select(F.col(DAY).alias("data_carga"), status.alias("status"))
+    both = report.kpi(fact).join(report.newest_two(state), "sk_data_carga", "left_semi")
+    return rounded(report.period_delta(both, KPIS, period="sk_data_carga"), "valor", "anterior", "variacao_pct")
+
+
 def category_share(spark, folder):
     fact = preset.category_fact(versioned(history(spark, folder)))
     totals = report.sum_by(fact, "valor_gasto", "categoria", dim=preset.category_dim(spark), key="sk_categoria")
@@ -604,6 +644,16 @@ def merge_update_columns(spark, folder):
     return merge.update_columns(_customer_table(spark, folder), changes, ["id"], allowed=["pedidos", "ultimo"])
 
 
+def generation_replace(spark, folder):
+    """A table rewritten as a whole twice, the second time from itself."""
+    target = scratch.new_path(spark, "clientes")
+    first = table(spark, folder, "customer").select("c_custkey", "c_nationkey", F.lit(1).alias("vez"))
+    number = generations.write_next(first, target, after=generations.latest(spark, target))
+    again = generations.read_latest(spark, target, first.schema).withColumn("vez", F.col("vez") + 1)
+    generations.write_next(again, target, after=number)
+    return generations.read_latest(spark, target, first.schema)
+
+
 def slice_replace(spark, folder):
     """Slices of orders by year; the second is replaced by some of its own rows, the third by none."""
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", F.year("o_orderdate").alias("ano"))
@@ -719,18 +769,18 @@ def resolve_params(spark, folder):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        customer_snapshot, contract_projection, audit_columns, row_hash, typed_customers,
+        customer_snapshot, contract_projection, audit_columns, delimited_file, row_hash, typed_customers,
         quality_accepted, quality_quarantine, quality_summary, quality_gate, content_clones,
         first_occurrence, occurrence_number,
-        calendar, dim_members, dim_marital, dim_ordered, dim_static, bands, surrogate_keys,
+        calendar, calendar_kept, dim_members, dim_marital, dim_ordered, dim_static, bands, surrogate_keys,
         scd2_history, scd2_iterated, scd2_same_day_fix, scd2_as_of,
         fact_snapshot, fact_category, fact_channel, fact_campaign,
-        kpi_delta, category_share, channel_share, campaign_rate, country_spend, mean_with_gaps, income_band,
+        kpi_delta, kpi_newest_two, category_share, channel_share, campaign_rate, country_spend, mean_with_gaps, income_band,
         age_band, education_level, scd_stats,
         loads_latest, load_totals, recent_runs, stage_duration, run_succeeded, recent_errors,
         error_summary, dq_latest, dq_totals, inventory, profile, dictionary_coverage,
         checks_all, orphan_keys,
-        merge_insert_new, merge_upsert, merge_upsert_keep, merge_update_columns, slice_replace,
+        merge_insert_new, merge_upsert, merge_upsert_keep, merge_update_columns, generation_replace, slice_replace,
         load_manifest, load_fingerprint, load_plan, load_plan_redo, load_copies, load_advance,
         last_success, load_plan_copies, loads_in_state, stage_active, resolve_params,
     )

@@ -300,10 +300,15 @@ def texts() -> dict[str, str]:
         "customer_snapshot": f"{f('raw')} select {RAW}, {DIA}, seq from raw",
         "contract_projection": f"{f('raw')} select {RAW} from raw",
         "audit_columns": f"{f('raw')} select id_cliente, {DIA}, 'marketing_{LATEST:%Y%m%d}.csv' as _arquivo_origem, 'run-1' as _run_id, seq from raw",
+        # A file does not tell an empty text from a missing one.
+        "delimited_file": f"{f('raw')}, lido as (select dia, {', '.join(f"nullif({c}, '') as {c}" for c in preset.COLUMNS)} from raw) "
+        f"select {RAW}, {DIA}, 'entrega.csv' as _arquivo_origem, sha256({o.text_of(preset.COLUMNS, '||')}) as _hash_linha, (select count(*) from raw) as sequencias from lido",
         "row_hash": f"{f('raw')} select id_cliente, seq, sha256({o.text_of(preset.COLUMNS, '||')}) as hash_linha from raw",
         "typed_customers": f"{f('typed')} select {TYPED}, {DIA}, seq, id_cliente_raw from typed",
         "quality_accepted": f"{f('silver')} select {_plain(CLEAN)}, hash_conteudo, dq_alertas, {DIA} from silver",
-        "quality_quarantine": f"{f('flags')} select id_cliente_raw, {o.codes('r')} as motivos, {DIA} from flags where bloqueado",
+        "quality_quarantine": f"{f('flags')} select id_cliente_raw, {o.codes('r')} as motivos, {DIA}, r.id_cliente as original_id_cliente, r.data_cadastro as original_data_cadastro, "
+        "r.salario_anual as original_salario_anual, r.pais as original_pais "
+        "from flags join (select dia, seq, id_cliente, data_cadastro, salario_anual, pais from raw) r using (dia, seq) where bloqueado",
         "quality_summary": f"{_summary(DAYS)} select {DIA}, regra, severidade, acao, total, falhas, round(falhas * 100.0 / total, 6)::double as pct_falha from res",
         "quality_gate": "select *, round(bloqueadas * 100.0 / total, 6)::double as pct_rejeicao, "
         f"cast(bloqueadas * 100.0 / total <= 10 as integer) as aprovada from ({_gate('normal', Defects())} union all {_gate('suja', Defects().dirtier())})",
@@ -311,6 +316,7 @@ def texts() -> dict[str, str]:
         "first_occurrence": f"{f('flags')} select id_cliente, seq, cast(r002 as integer) as repetida from flags",
         "occurrence_number": "select event_id, user_id, row_number() over (partition by user_id order by event_id) as vez from events",
         "calendar": CALENDAR,
+        "calendar_kept": CALENDAR,
         "dim_members": f"{f('silver', (DAYS[0], LATEST))} {_members('pais')}",
         "dim_marital": f"{f('silver')} {_members('estado_civil')}",
         "surrogate_keys": _surrogate_keys(),
@@ -329,6 +335,7 @@ def texts() -> dict[str, str]:
         "fact_channel": f"{_domain(preset.CHANNELS, 'qtd_compras', 'canal', 'integer')} select id_cliente, {o.ymd('dia')} as sk_data_carga, canal, qtd_compras from longo",
         "fact_campaign": f"{_domain(preset.CAMPAIGNS, 'aceitou', 'campanha', 'integer')} select id_cliente, {o.ymd('dia')} as sk_data_carga, campanha, aceitou from longo",
         "kpi_delta": o.star("true") + "," + KPI + o.delta(queries.KPIS),
+        "kpi_newest_two": o.star(f"s.dia <> {o.day(DAYS[1])}") + "," + KPI + o.delta(queries.KPIS),
         "category_share": f"{_domain(preset.CATEGORIES, 'valor_gasto', 'categoria', 'decimal(12,2)')}, t as (select categoria as rotulo, sum(valor_gasto) as v from longo group by 1) "
         "select rotulo, cast(v as double) as valor, round(cast(v as double) / (select cast(sum(v) as double) from t), 6) as fracao from t",
         "channel_share": f"{_domain(preset.CHANNELS, 'qtd_compras', 'canal', 'integer')}, t as (select canal as rotulo, sum(qtd_compras)::bigint as v from longo group by 1) "
@@ -379,6 +386,7 @@ def texts() -> dict[str, str]:
         "from estado e full outer join n on n.data_carga = e.data_carga",
         "merge_update_columns": f"with {TOTALS} select c.id, coalesce(t.pedidos, c.pedidos) as pedidos, coalesce(t.ultimo, c.ultimo) as ultimo "
         "from cli c left join (select * replace (case when pedidos > 1 then pedidos end as pedidos) from tot) t on t.id = c.id",
+        "generation_replace": "select c_custkey, c_nationkey, 2 as vez from customer",
         "slice_replace": "with o as (select o_orderkey, o_orderstatus, cast(extract(year from o_orderdate) as integer) as ano from orders), a as (select min(ano) as y from o) "
         "select o_orderkey, o_orderstatus, ano, ano || '-01-01' as dia from o, a where ano not in (y + 1, y + 2) or (ano = y + 1 and o_orderstatus = 'F')",
         "load_manifest": f"with {o.deliveries()}, nomes as (select menor as tamanho_bytes, case menor % 11 "
