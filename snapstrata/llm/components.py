@@ -25,19 +25,22 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return made.where("a <> b").distinct()
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node is either a centre or linked to one centre only."""
+    c = F.col
+    roles = edges.select(c("a").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("centre"))
+    roles = roles.union(edges.select("b", F.lit(0), F.lit(1))).groupBy("node").agg(F.sum("out").alias("out"), F.max("centre").alias("centre"))
+    return roles.where((c("out") > 1) | ((c("out") == 1) & (c("centre") == 1))).isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, label (least node of its component) for every node of `edges` (a, b).
 
     Nodes with many links take part as sums only: rows are pairs of a node and the least one it is linked to, so
     their number never grows. Each round is stored; a lost executor costs no more than one.
     """
-    edges = stored(edges.where("a <> b").select("a", "b").distinct(), "links")
-    state = None
-    while True:
+    edges = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    while not _stars(edges):
         edges = stored(_star(stored(_star(edges, True), "large"), False), "small")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == state:
-            break
-        state = now
     leaves = edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
     return leaves.union(leaves.select("label", "label").distinct())

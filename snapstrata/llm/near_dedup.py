@@ -12,8 +12,8 @@ both, shared ones counted once; of texts without repeats or moved passages it is
 
 Equal texts are one node, so copies cost one row each. In a bucket of up to `SMALL` nodes all are compared. In a
 larger one each is compared with the most central node, whose bands most others have; if it still holds more than one
-class, its nodes are dealt out again by their next bands, until none does. So no bucket emits pairs by the square of
-its size, and no candidate is dropped for the size of its bucket. A pair at similarity 0.8 is missed by all bands
+class, its nodes are dealt out again by their next bands, until none does (from then on, buckets of up to 8 * `SMALL`
+have all their pairs of different classes compared). So no bucket emits pairs by the square of its size, and no candidate is dropped for the size of its bucket. A pair at similarity 0.8 is missed by all bands
 about once in 10,000; classes are the connected components of the links found.
 
 Words are split at white space, with A-Z in lower case. Edge cases: null texts are empty; texts without words
@@ -183,23 +183,42 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
-def _candidates(members: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Pairs (a < b): all in small buckets, each node with the most central one in large ones.
+def _buckets(members: DataFrame) -> DataFrame:
+    """Members (key, band, node, class, weight) of buckets with more than one class, with size and the most central node.
 
-    `members` has key, node, class and weight (how many share its bands); `sizes` has key, size.
+    The only join of a round by bucket: the other side has a row for each bucket.
     """
     c = F.col
-    sized = members.join(sizes, "key")
-    small = sized.where(c("size") <= SMALL).groupBy("key").agg(F.array_sort(F.collect_set(F.struct("node", "class"))).alias("nodes"))
-    pairs = small.select(F.explode("nodes").alias("x"), "nodes").select(
+    sums = members.groupBy("key").agg(
+        F.count("*").alias("size"), F.min("class").alias("low"), F.max("class").alias("high"),
+        F.max(F.struct("weight", "node", "class")).alias("centre"),
+    )
+    sums = sums.where("low < high").select("key", "size", c("centre.node").alias("hub"), c("centre.class").alias("hub_class"))
+    return stored(members.join(sums, "key"), "buckets")
+
+
+def _candidates(buckets: DataFrame, small: int) -> DataFrame:
+    """Pairs (a < b) of different classes: all in small buckets, each node with the most central one in large ones."""
+    c = F.col
+    few = buckets.where(c("size") <= small).groupBy("key").agg(F.array_sort(F.collect_set(F.struct("node", "class"))).alias("nodes"))
+    pairs = few.select(F.explode("nodes").alias("x"), "nodes").select(
         c("x.node").alias("a"), F.explode(F.filter("nodes", lambda y: (y["node"] > c("x.node")) & (y["class"] != c("x.class")))).alias("y")
     ).select("a", c("y.node").alias("b"))
-    large = sized.where(c("size") > SMALL)
-    centre = large.groupBy("key").agg(F.max(F.struct("weight", "node", "class")).alias("centre")).select("key", "centre.node", "centre.class")
-    spokes = large.join(centre.toDF("key", "hub", "hub_class"), "key").where("node <> hub and class <> hub_class")
+    spokes = buckets.where((c("size") > small) & (c("class") != c("hub_class")))
     return pairs.union(spokes.select(F.least("node", "hub"), F.greatest("node", "hub"))).distinct()
 
 
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels of nodes after new links: components of the links between labels, carried over to their nodes."""
+    c = F.col
+    ends = links
+    for x in ("a", "b"):
+        ends = ends.join(labels.toDF(x, f"label_{x}"), x, "left").withColumn(x, F.coalesce(f"label_{x}", x)).drop(f"label_{x}")
+    roots = stored(components(ends.select("a", "b")), "roots")
+    moved = labels.join(roots.toDF("label", "root"), "label", "left").select("node", F.coalesce("root", "label").alias("label"))
+    return stored(moved.union(roots.join(labels.select("node"), "node", "left_anti").select("node", "label")), "labels")
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """doc_id, row (hash of the text), class_id (the smallest id of its class), copy_of (the smallest id with equal words)."""
     c = F.col
@@ -209,41 +228,37 @@ def classes(docs: DataFrame) -> DataFrame:
     contents = signed.groupBy("one", "two").agg(F.min(F.struct("doc_id", "row", "bands")).alias("at"))
     contents = stored(contents.select("one", "two", "at.doc_id", "at.row", "at.bands", F.xxhash64("one", "two").alias("node")), "contents")
 
-    buckets = contents.select("node", F.posexplode("bands").alias("band", "key"))
-    sizes = buckets.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    members = stored(buckets.join(sizes, "key"), "members")
-    weights = members.groupBy("node").agg(F.sum("size").alias("weight"))
-    chosen = contents.join(weights.select("node"), "node").select("doc_id", "row", "node")
+    keys = contents.select("node", F.posexplode("bands").alias("band", "key"))
+    sizes = keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    shared = stored(keys.join(sizes, "key"), "shared")
+    # How many others share a node's bands: the text that near copies were made from has more than each of them.
+    weights = stored(shared.groupBy("node").agg(F.sum("size").alias("weight")), "weights")
+    chosen = contents.join(weights, "node").select("doc_id", "row", "node")
     texts = stored(keyed.join(chosen, ["doc_id", "row"]).groupBy("node").agg(F.min("text").alias("text")), "texts")
-    members = stored(members.join(weights, "node").select("key", "band", "node", c("node").alias("class"), "size", "weight"), "weighted")
 
-    links, tested, level = None, None, 0
-    labels = None
+    members = shared.join(weights, "node").select("key", "band", "node", c("node").alias("class"), "weight")
+    labels, level = contents.where("false").select("node", c("node").alias("label")), 0
     while True:
         level += 1
-        sizes = members.select("key", "size").distinct() if level == 1 else members.groupBy("key").agg(F.count("*").alias("size"))
-        pairs = _candidates(members.drop("size"), sizes)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
+        small = SMALL if level == 1 else 8 * SMALL
+        buckets = _buckets(members)
+        pairs = stored(_candidates(buckets, small), "pairs")
         found = stored(_verified(pairs, texts), "found")
-        tested = pairs if tested is None else tested.union(pairs)
-        links = found if links is None else links.union(found)
-        labels = stored(components(links), "labels")
-        # Large buckets that still hold more than one class go on with one more band.
-        sized = members.drop("size", "class").join(sizes.where(c("size") > SMALL), "key").join(labels, "node", "left")
-        sized = sized.withColumn("class", F.coalesce("label", "node"))
-        open_ = sized.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high").select("key")
-        dealt = (
-            sized.join(open_, "key").join(contents.select("node", "bands"), "node")
-            .withColumn("step", F.explode(F.array(F.lit(level), F.lit(level + 4) if level == 1 else F.lit(level))))
-            .select(F.xxhash64("key", "step", F.get("bands", (c("band") + c("step")) % BANDS)).alias("key"), "band", "node", "class", "weight")
-            .distinct()
-        )
-        mixed_ = dealt.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high").select("key")
-        members = stored(dealt.join(mixed_, "key"), "members")
-        if level == BANDS or members.isEmpty():
+        if not found.isEmpty():
+            labels = _joined(labels, found)
+        large = buckets.where(c("size") > small)
+        # Nodes of large buckets are dealt out by more bands, in case their bucket holds more than one class still:
+        # by the next one, then one more, then two at a time, until every band was used.
+        more = [level] if level < 3 else [x for x in (2 * level - 3, 2 * level - 2) if x < BANDS]
+        if not more or large.isEmpty():
             break
+        members = (
+            large.select("key", "band", "node", "weight").join(labels, "node", "left").join(contents.select("node", "bands"), "node")
+            .select(
+                F.xxhash64("key", *(F.get("bands", (c("band") + x) % BANDS) for x in more)).alias("key"), "band", "node",
+                F.coalesce("label", "node").alias("class"), "weight",
+            )
+        )
 
     named = contents.join(labels, "node", "left").withColumn("class", F.coalesce("label", "node"))
     ids = named.groupBy("class").agg(F.min("doc_id").alias("class_id"))
