@@ -11,32 +11,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapstrata.llm import near_dedup, packing, quality_outliers, quality_ranking, substring_dedup
-from snapstrata.llm.common import stored, vocabulary
+from snapstrata.llm.common import shipped, stored, vocabulary
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the outlier test keep."""
+    shipped(spark)
     return quality_outliers.kept(docs)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents predicted to be of label 1 by a model fitted on the labels of documents that are here."""
+    shipped(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return quality_ranking.kept(docs, quality_ranking.fitted(docs, labels))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of smallest id of each class of near-duplicates."""
+    shipped(spark)
     return near_dedup.kept(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that one of a smaller id has."""
+    shipped(spark)
     return substring_dedup.cut(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences."""
+    shipped(spark)
     return packing.packed(docs, vocabulary("word_bpe_49k.json"))
 
 

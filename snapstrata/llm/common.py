@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -11,10 +14,28 @@ from pyspark.sql import functions as F
 
 from snapstrata.sources.scratch import stored
 
-__all__ = ["documents", "mapped", "mixed", "set_aside", "stored", "texts", "vocabulary"]
+__all__ = ["documents", "mapped", "mixed", "set_aside", "shipped", "stored", "texts", "vocabulary"]
+
+
+_shipped: set[str] = set()
+
+
+def shipped(spark: SparkSession) -> None:
+    """Sends this library to the executors, once for each application: their Python need not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix=f"{root.name}-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(archive, "w") as file:
+        for module in sorted(root.rglob("*.py")):
+            file.write(module, module.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
+    shipped(spark)
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
