@@ -19,13 +19,11 @@ def latest(spark: SparkSession, table: str) -> int:
     files = root.getFileSystem(spark._jsc.hadoopConfiguration())
     if not files.exists(root):
         return 0
-    found = [0]
-    for entry in files.listStatus(root):
-        name = entry.getPath().getName()
-        done = spark._jvm.org.apache.hadoop.fs.Path(entry.getPath(), "_SUCCESS")
-        if name.startswith(f"{GENERATION}=") and files.exists(done):
-            found.append(int(name.split("=")[1]))
-    return max(found)
+    names = [entry.getPath().getName() for entry in files.listStatus(root)]
+    numbers = sorted((int(n.split("=")[1]) for n in names if n.startswith(f"{GENERATION}=")), reverse=True)
+    # Newest first: one or two looks for the marker, however many generations there are.
+    marker = lambda n: spark._jvm.org.apache.hadoop.fs.Path(f"{table}/{GENERATION}={n}/_SUCCESS")
+    return next((n for n in numbers if files.exists(marker(n))), 0)
 
 
 def write_next(df: DataFrame, table: str, *, after: int, partition_by: tuple[str, ...] = ()) -> int:
@@ -42,6 +40,20 @@ def read_latest(spark: SparkSession, table: str, schema: T.StructType, number: i
     return spark.read.schema(schema).parquet(f"{table}/{GENERATION}={number}")
 
 
+def drop_superseded(spark: SparkSession, table: str, number: int, current: str | None = None) -> None:
+    """Removes what no reader of generation ``number`` or the one before needs.
+
+    Of a table of versions (``current`` names its mark) that is the current rows of older generations;
+    of others the older generations.
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(table)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for old in range(number - 2, 0, -1):
+        place = f"{table}/{GENERATION}={old}" + (f"/{current}=true" if current else "")
+        if not files.delete(spark._jvm.org.apache.hadoop.fs.Path(place), True):
+            break  # gone since an earlier load, and with it all before
+
+
 def read_versions(
     spark: SparkSession, table: str, schema: T.StructType, current: str, number: int | None = None
 ) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,6 +13,7 @@ SETTING = "spark.checkpoint.dir"
 
 
 _local_folders: dict[str, str] = {}
+_written: dict[str, list[str]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -41,4 +44,19 @@ def stored(df: DataFrame, name: str = "etapa") -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Intermediates stored inside are removed at the end; nothing that outlives it may read them."""
+    paths = _written.setdefault(spark.sparkContext.applicationId, [])
+    before = len(paths)
+    try:
+        yield
+    finally:
+        for path in paths[before:]:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        del paths[before:]

@@ -1,4 +1,5 @@
 from datetime import date
+from pathlib import Path
 
 import pytest
 from customer_rows import VALID
@@ -70,6 +71,19 @@ def test_failed_gate_keeps_quarantine_but_no_accepted_rows(spark, warehouse, tmp
         spark.read.parquet(warehouse.path("silver")).count()
 
 
+def test_old_generations_and_intermediates_go(spark, warehouse, tmp_path):
+    for n in range(1, 5):
+        day = date(2026, 9, n)
+        people = [person(i, salario_anual=str(1000 * n)) for i in range(1, 6)]
+        tables = warehouse.process(deliver(tmp_path, day, people), day, f"r{n}")
+    assert generations.latest(spark, warehouse.path("dim_pais")) == 4
+    assert tables["dim_cliente"].count() == 20 and tables["dim_cliente"].where(scd2.CURRENT).count() == 5
+    folders = lambda name: sorted(str(p.relative_to(p.parents[1])) for p in Path(warehouse.path(name)).glob("geracao=*/*=true"))
+    assert folders("dim_cliente") == [f"geracao={n}/flag_atual=true" for n in (3, 4)]
+    assert sorted(p.name for p in Path(warehouse.path("dim_pais")).glob("geracao=*")) == ["geracao=3", "geracao=4"]
+    assert scratch._written[spark.sparkContext.applicationId] == [] or not any("base_fatos" in p for p in scratch._written[spark.sparkContext.applicationId])
+
+
 def test_unfinished_generation_is_ignored_and_overwritten(spark):
     path = scratch.new_path(spark, "g")
     df = spark.range(3)
