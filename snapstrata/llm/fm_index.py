@@ -52,12 +52,11 @@ class Least:
     """Smallest value of any range, from those of ranges whose lengths are powers of two."""
 
     def __init__(self, values: np.ndarray):
-        self.rows = [values.astype(np.int32)]
-        while 2 * (half := 1 << (len(self.rows) - 1)) <= len(values):
-            self.rows.append(np.minimum(self.rows[-1][:-half], self.rows[-1][half:]))
-        width = max(map(len, self.rows))
-        self.flat = np.concatenate(self.rows)
-        self.at = np.cumsum([0, *map(len, self.rows)])[:-1]
+        rows, width = [values.astype(np.int32)], len(values)
+        while 2 * (half := 1 << (len(rows) - 1)) <= width:
+            rows.append(np.minimum(rows[-1][:-half], rows[-1][half:]))
+        self.at = np.cumsum([0, *map(len, rows)])[:-1]
+        self.flat = np.concatenate(rows)
         self.log = np.zeros(width + 1, np.int64)
         self.log[1:] = np.floor(np.log2(np.arange(1, width + 1))).astype(np.int64)
 

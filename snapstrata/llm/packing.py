@@ -24,6 +24,7 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -42,7 +43,7 @@ PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ſ]+|[0-9]|[^a-z0-9ß-
 class Encoder:
     """Ids of texts as unsigned 32-bit bytes, through two bounded tables of pieces met before."""
 
-    def __init__(self, path: str, bound: int = 400_000):
+    def __init__(self, path: str, bound: int = 120_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -57,10 +58,6 @@ class Encoder:
         return [array("I", x.ids).tobytes() for x in self.library.encode_batch_fast(items, add_special_tokens=False)]
 
     def _learn(self, chunks: set[bytes]) -> None:
-        if len(self.chunks) > self.bound:
-            self.chunks.clear()
-        if len(self.pieces) > self.bound:
-            self.pieces.clear()
         split: dict[bytes, list[str]] = {}
         for chunk in chunks:
             text = chunk.decode("utf-8", "replace")
@@ -80,16 +77,17 @@ class Encoder:
                 size += len(batch[stop])
                 stop += 1
             words = [x.split() for x in batch[start:stop]]
+            # Of a full table the older half goes; what is frequent is soon back. Pieces are dear to work out, chunks are not.
+            if len(self.chunks) > self.bound:
+                self.chunks = dict(islice(self.chunks.items(), len(self.chunks) - self.bound // 2, None))
+            if len(self.pieces) > 2 * self.bound:
+                self.pieces = dict(islice(self.pieces.items(), len(self.pieces) - self.bound, None))
             new = {w for ws in words for w in ws}.difference(self.chunks)
             if new:
                 self._learn(new)
+            known = self.chunks
             for ws in words:
-                known = self.chunks
-                try:
-                    yield b"".join([known[w] for w in ws])
-                except KeyError:  # the table was emptied meanwhile
-                    self._learn({w for w in ws if w not in known})
-                    yield b"".join([self.chunks[w] for w in ws])
+                yield b"".join([known[w] for w in ws])
             start = stop
 
 

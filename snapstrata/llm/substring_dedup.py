@@ -97,7 +97,7 @@ def _searched(segments: DataFrame, span: int, gram: int, shards: int) -> DataFra
     return segments.groupBy(shard.alias("shard")).applyInPandas(run, "least long, whole long, number short, windows long")
 
 
-def repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, crowd: int = 2000, shard_words: int = 600_000) -> DataFrame:
+def repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, crowd: int = 2000, shard_words: int = 400_000) -> DataFrame:
     """doc_id, row (hash of the text), places: for documents with repeated windows, first window of a stretch and the
     bits of its repeated ones. `docs` has doc_id and text, and `row`."""
     c = F.col
