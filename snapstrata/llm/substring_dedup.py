@@ -70,7 +70,7 @@ def _searched(segments: DataFrame, span: int, gram: int, shards: int) -> DataFra
     """least, whole, number, windows: bits of the windows of each stretch that a smaller document has."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        split = [x.split() for x in frame["words"]]
+        split = [x.split(" ") for x in frame["words"]]  # as they were joined: other white space of Unicode is part of a word
         index: dict[str, int] = {}
         coded = [np.fromiter((index.setdefault(w, len(index) + 1) for w in ws), np.int64, len(ws)) for ws in split]
         owners = pd.factorize(frame["doc_id"], sort=True)[0]

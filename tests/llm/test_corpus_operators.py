@@ -416,6 +416,23 @@ def test_repeated_passages(spark, texts, crowd, monkeypatch):
     assert sum(x[1] for x in got.values()) > 3000
 
 
+@pytest.mark.parametrize("space", ["\u00a0", "\u3000", "\u2028", "\x85", "\x1c"])
+def test_white_space_of_unicode_is_part_of_a_word(spark, space):
+    """Repeated passages whose words hold such characters, at the start, in the middle and at the end of texts; 49 shared words stay."""
+    rng = random.Random(12)
+    docs = {}
+    for n in range(12):
+        passage = [f"q{n}w{rng.randrange(10**6)}" for _ in range(50 + n // 3)]
+        passage[rng.randrange(5, 45)] = f"a{n}{space}b{space}c"
+        docs[10 * n] = " ".join([*passage, "tail"])
+        docs[10 * n + 1] = " ".join(passage)
+        docs[10 * n + 2] = " ".join([f"own{n}", *passage, f"more{n}", "x"])
+        docs[10 * n + 3] = " ".join([f"first{n}", *passage[:49], f"last{n}"])
+    got = {r["doc_id"]: tuple(r)[1:] for r in substring_dedup.deduplicated(frame(spark, list(docs.items())).repartition(3)).collect()}
+    assert got == removed_plainly(docs, 50)
+    assert sum(x[1] for x in got.values()) >= 24 * 50
+
+
 def test_cut_keeps_white_space(spark):
     passage = "\n".join(f"line{k} of it" for k in range(20))
     docs = frame(spark, [(1, passage), (2, f"  my\nown {passage}\n\nend "), (3, None)])
