@@ -11,10 +11,14 @@ diagonals that a similarity of 0.8 can reach, as bit-parallel steps. The similar
 both, shared ones counted once; of texts without repeats or moved passages it is the Jaccard index.
 
 Equal texts are one node, so copies cost one row each. In a bucket of up to `SMALL` nodes all are compared. In a
-larger one each is compared with the most central node, whose bands most others have; if it still holds more than one
-class, its nodes are dealt out again by their next bands, until none does (from then on, buckets of up to 8 * `SMALL`
-have all their pairs of different classes compared). So no bucket emits pairs by the square of its size, and no candidate is dropped for the size of its bucket. A pair at similarity 0.8 is missed by all bands
-about once in 10,000; classes are the connected components of the links found.
+larger one each is first compared with the most central node, whose bands most others have. Where that leaves more than
+one class, every pair of different classes is compared: nodes outside the bucket's largest class meet all nodes of the
+bucket in cells of two blocks, which hold at most about `BLOCK` of each. A cell verifies its pairs itself and returns
+one link for two classes, so neither rows nor links grow by the pairs, though the comparisons of a bucket of many
+classes do. Pairs that share several bands are compared in the first of these; those whose sets of shingles are too
+different to be alike are told by a count. So no candidate is dropped for the size of its bucket: what is missed is
+missed by all bands, a pair at similarity 0.8 about once in 4,600 ((1 - 0.8^4)^16). Classes are the connected
+components of the links found.
 
 Words are split at white space, with A-Z in lower case. Edge cases: null texts are empty; texts without words
 are alike when they are equal; texts of under five words have one shingle, all of them; rows that repeat an id
@@ -37,7 +41,7 @@ from snapstrata.llm.components import components
 from snapstrata.llm.rolling import Hashes, Rolling, batches
 
 SIZE, SIMILARITY = 5, 0.8
-BANDS, SMALL = 16, 8
+BANDS, SMALL, BLOCK = 16, 8, 512
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _SEEDS = mixed(np.arange(1, 2 * BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
@@ -208,6 +212,82 @@ def _candidates(buckets: DataFrame, small: int) -> DataFrame:
     return pairs.union(spokes.select(F.least("node", "hub"), F.greatest("node", "hub"))).distinct()
 
 
+def _rest(buckets: DataFrame, labels: DataFrame, contents: DataFrame, texts: DataFrame, block: int) -> DataFrame:
+    """Links (a, b) in large buckets that hold more than one class: all that join classes, one or more for each two of them.
+
+    Nodes outside the bucket's largest class ("probes") meet every node of it. Both are dealt into blocks, and a cell has
+    one block of each: rows are nodes by the blocks they meet, never pairs.
+    """
+    c = F.col
+    members = buckets.select("key", "band", "node").join(labels, "node", "left").select("key", "band", "node", F.coalesce("label", "node").alias("class"))
+    counts = members.groupBy("key", "class").agg(F.count("*").alias("n"))
+    sums = counts.groupBy("key").agg(F.sum("n").alias("size"), F.max(F.struct("n", "class")).alias("top")).where(c("top.n") < c("size"))
+    blocks = lambda n: F.ceil(n / F.lit(block)).cast("int")
+    sums = stored(sums.select("key", c("top.class").alias("main"), blocks(c("size")).alias("rows"), blocks(c("size") - c("top.n")).alias("columns")), "rest")
+    members = stored(members.join(sums, "key").join(contents.select("node", "bands"), "node"), "unlike")
+    dealt = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    given = ["key", "band", "node", "class", "bands", (c("class") != c("main")).alias("odd")]
+    cells = members.select(*given, F.lit(False).alias("probe"), dealt(c("rows")).alias("i"), every(c("columns")).alias("j")).union(
+        members.where(c("class") != c("main")).select(*given, F.lit(True), every(c("rows")), dealt(c("columns")))
+    )
+    cells = cells.join(texts, "node")
+
+    def run(table: pa.Table) -> pa.Table:
+        return pa.table([pa.array(x, pa.int64()) for x in _cell(table, Hashes())], ["a", "b"])
+
+    return cells.groupBy("key", "i", "j").applyInArrow(run, "a long, b long")
+
+
+def _cell(table: pa.Table, hashes: Hashes) -> tuple[list, list]:
+    """Alike pairs of a probe and another node, of those that join two classes; the pair's first common band is the cell's."""
+    node, label, odd, probe = (table.column(x).to_numpy() for x in ("node", "class", "odd", "probe"))
+    band = table.column("band")[0].as_py()
+    bands_ = np.array(table.column("bands").to_pylist(), np.int64)
+    here, at = np.unique(node, return_inverse=True)  # a node may be here as a probe and as another
+    first = np.full(len(here), -1)
+    first[at[::-1]] = np.arange(len(node))[::-1]
+    texts = table.column("text").cast(pa.binary())
+    runs = [shingles(texts[int(k)].as_py(), hashes) for k in first]
+    lengths = np.fromiter(map(len, runs), np.int64, len(runs))
+    codes = np.unique(np.concatenate([labelled(x) for x in runs]), return_inverse=True)[1]
+    begin = np.cumsum(lengths) - lengths
+    root = {int(x): int(x) for x in np.unique(label)}
+
+    def top(x: int) -> int:
+        while root[x] != x:
+            x = root[x] = root[root[x]]
+        return x
+
+    found: tuple[list, list] = ([], [])
+    marked = np.zeros(int(codes.max(initial=0)) + 1, bool)
+    others = np.flatnonzero(~probe)
+    for p in np.flatnonzero(probe):
+        mine = at[p]
+        n, m = lengths[mine], lengths[at[others]]
+        fit = (label[others] != label[p]) & (np.minimum(n, m) >= np.maximum(n, m) * SIMILARITY - 1e-9)
+        fit &= ~odd[others] | (node[others] > node[p])  # two probes meet in both orders
+        meet = others[fit]
+        if len(meet):
+            meet = meet[(bands_[meet] == bands_[p]).argmax(axis=1) == band]
+        if not len(meet):
+            continue
+        marked[codes[begin[mine] : begin[mine] + n]] = True
+        for o in meet:
+            a, b = top(int(label[p])), top(int(label[o]))
+            if a == b:
+                continue
+            k = at[o]
+            same = int(np.count_nonzero(marked[codes[begin[k] : begin[k] + lengths[k]]]))
+            # Not more than the shared shingles can be in the same order.
+            if same >= SIMILARITY * (n + lengths[k] - same) - 1e-9 and aligned(runs[mine], runs[k]) >= SIMILARITY:
+                root[a] = b
+                found[0].append(int(node[p]))
+                found[1].append(int(node[o]))
+        marked[codes[begin[mine] : begin[mine] + n]] = False
+    return found
+
+
 def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
     """Labels of nodes after new links: components of the links between labels, carried over to their nodes."""
     c = F.col
@@ -219,8 +299,10 @@ def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
     return stored(moved.union(roots.join(labels.select("node"), "node", "left_anti").select("node", "label")), "labels")
 
 
-def classes(docs: DataFrame) -> DataFrame:
-    """doc_id, row (hash of the text), class_id (the smallest id of its class), copy_of (the smallest id with equal words)."""
+def classes(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+    """doc_id, row (hash of the text), class_id (the smallest id of its class), copy_of (the smallest id with equal words).
+
+    `block` bounds the nodes of either side that a task compares at once."""
     c = F.col
     keyed = docs.select(c("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).where("doc_id is not null")
     keyed = keyed.withColumn("row", F.xxhash64("text"))
@@ -237,28 +319,16 @@ def classes(docs: DataFrame) -> DataFrame:
     texts = stored(keyed.join(chosen, ["doc_id", "row"]).groupBy("node").agg(F.min("text").alias("text")), "texts")
 
     members = shared.join(weights, "node").select("key", "band", "node", c("node").alias("class"), "weight")
-    labels, level = contents.where("false").select("node", c("node").alias("label")), 0
-    while True:
-        level += 1
-        small = SMALL if level == 1 else 8 * SMALL
-        buckets = _buckets(members)
-        pairs = stored(_candidates(buckets, small), "pairs")
-        found = stored(_verified(pairs, texts), "found")
+    labels = contents.where("false").select("node", c("node").alias("label"))
+    buckets = _buckets(members)
+    found = stored(_verified(stored(_candidates(buckets, SMALL), "pairs"), texts), "found")
+    if not found.isEmpty():
+        labels = _joined(labels, found)
+    large = buckets.where(c("size") > SMALL)
+    if not large.isEmpty():
+        found = stored(_rest(large, labels, contents, texts, block), "found")
         if not found.isEmpty():
             labels = _joined(labels, found)
-        large = buckets.where(c("size") > small)
-        # Nodes of large buckets are dealt out by more bands, in case their bucket holds more than one class still:
-        # by the next one, then one more, then two at a time, until every band was used.
-        more = [level] if level < 3 else [x for x in (2 * level - 3, 2 * level - 2) if x < BANDS]
-        if not more or large.isEmpty():
-            break
-        members = (
-            large.select("key", "band", "node", "weight").join(labels, "node", "left").join(contents.select("node", "bands"), "node")
-            .select(
-                F.xxhash64("key", *(F.get("bands", (c("band") + x) % BANDS) for x in more)).alias("key"), "band", "node",
-                F.coalesce("label", "node").alias("class"), "weight",
-            )
-        )
 
     named = contents.join(labels, "node", "left").withColumn("class", F.coalesce("label", "node"))
     ids = named.groupBy("class").agg(F.min("doc_id").alias("class_id"))

@@ -283,6 +283,28 @@ def test_near_duplicates_in_a_large_group(spark):
     assert kept == {0, *range(61, 90), 90, 92, 94}
 
 
+@pytest.mark.parametrize("block", [7, 512])
+def test_all_pairs_of_large_buckets_are_compared(spark, block, monkeypatch):
+    """All documents have all bands in common; links are between neighbours of chains that the most central node is no part of."""
+    rng = random.Random(13)
+    monkeypatch.setattr(near_dedup, "bands", lambda sequence: np.arange(near_dedup.BANDS, dtype=np.uint64))
+    docs, n = {}, 0
+    for chain in range(45):
+        words = [f"c{chain}w{k}" for k in range(200)]
+        for step in range(rng.randint(1, 6)):
+            docs[n], n = " ".join(words), n + 1
+            words[30 * step : 30 * step + 15] = [f"c{chain}s{step}x{k}" for k in range(15)]
+    want = {i: i for i in docs}
+    for b in docs:
+        for a in range(b):
+            if jaccard(docs[a], docs[b]) >= 0.8:
+                old, new = sorted((want[a], want[b]), reverse=True)
+                want = {i: new if x == old else x for i, x in want.items()}
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.classes(frame(spark, list(docs.items())), **({"block": block} if block < 512 else {})).collect()}
+    assert got == want
+    assert 45 == len(set(want.values())) < len(want)
+
+
 def test_near_duplicates_of_the_test_table(spark, texts):
     classes = {r["doc_id"]: r["class_id"] for r in near_dedup.classes(frame(spark, list(texts.items()))).collect()}
     ids = sorted(texts)
