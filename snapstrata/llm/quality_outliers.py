@@ -11,7 +11,7 @@ group, stored between steps; texts are read once, later steps read the small tab
 
 Edge cases: null language or source is a group of its own; groups under `least` rows are pooled by language,
 then overall, and a pool still too small for an estimate rejects nothing; null and empty texts fail the base
-rule on length; repeated rows all count; features without spread get a floor instead of a singular scatter;
+rule on length; repeated rows all count; directions of less spread than `LEAST` get that instead of a singular scatter;
 empty tables give no rows; `judged` ignores further columns, `kept` returns them.
 """
 
@@ -28,9 +28,11 @@ from pyspark.sql import functions as F
 from snapstrata.llm.common import set_aside, stored
 from snapstrata.llm.text_stats import statistics
 
-#: Smallest standard deviation that counts as one, by feature.
-FLOORS = {"length": 0.5, "word_length": 0.05, "symbols": 0.04, "dup_lines": 0.2, "repeats": 0.2, "upper": 0.05, "variety": 0.05, "marks": 0.05}
-P = len(FLOORS)
+#: Smallest standard deviation that counts as one, by feature; measured ones above it stay as they are.
+LEAST = {"length": 0.25, "word_length": 0.05, "symbols": 0.04, "dup_lines": 0.1, "repeats": 0.1, "upper": 0.05, "variety": 0.05, "marks": 0.05}
+#: Added to every spread only to keep the arithmetic sound, far below what counts.
+FLOORS = dict.fromkeys(LEAST, 0.001)
+P = len(LEAST)
 
 
 def features() -> list[Column]:
@@ -50,13 +52,20 @@ def features() -> list[Column]:
     ]
 
 
+def quantile(share: float) -> float:
+    """Of chi-square with P degrees of freedom, by the Wilson-Hilferty approximation."""
+    return P * (1 - 2 / (9 * P) + NormalDist().inv_cdf(share) * (2 / (9 * P)) ** 0.5) ** 3
+
+
+#: Distance that one in a thousand normal rows exceeds.
+LIMIT = quantile(0.999) ** 0.5
+
+
 def shrinkage(share: float) -> float:
     """How much a normal scatter shrinks when only the nearest `share` of the rows count: F(q; P + 2) / share
     at the quantile q of chi-square with P degrees of freedom, by the Wilson-Hilferty approximation."""
-    normal = NormalDist()
-    q = P * (1 - 2 / (9 * P) + normal.inv_cdf(share) * (2 / (9 * P)) ** 0.5) ** 3
-    k = P + 2
-    return normal.cdf(((q / k) ** (1 / 3) - 1 + 2 / (9 * k)) / (2 / (9 * k)) ** 0.5) / share
+    q, k = quantile(share), P + 2
+    return NormalDist().cdf(((q / k) ** (1 / 3) - 1 + 2 / (9 * k)) / (2 / (9 * k)) ** 0.5) / share
 
 
 def _distance(z: Column, centre: Column, inverse: Column) -> Column:
@@ -70,6 +79,7 @@ def _estimates(moments: DataFrame, share: float) -> DataFrame:
     """Centre and inverse scatter by group, from n, sums and sums of products of its regular rows."""
     upper = np.triu_indices(P)
     floor = np.diag(np.square(list(FLOORS.values())))
+    least = np.array(list(LEAST.values()))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -82,6 +92,9 @@ def _estimates(moments: DataFrame, share: float) -> DataFrame:
                 square[upper] = np.asarray(products, float) / n
                 square = square + np.triu(square, 1).T
                 scatter = (square - np.outer(mean, mean)) / shrinkage(share) + floor
+                # In units of the least spreads, no direction has a variance under 1.
+                values, axes = np.linalg.eigh(scatter / np.outer(least, least))
+                scatter = (axes * np.maximum(values, 1)) @ axes.T * np.outer(least, least)
                 out.append((key, mean.tolist(), np.linalg.inv(scatter).ravel().tolist()))
             yield pd.DataFrame(out, columns=["pool", "centre", "inverse"])
 
@@ -108,8 +121,7 @@ def _fitted(rows: DataFrame, share: float, steps: int, least: int) -> tuple[Data
 
     # Start: medians, and the distance of the quartiles as spread, each feature by itself.
     middle = vectors.groupBy("pool").agg(*(F.percentile_approx(c("z")[i], [0.25, 0.5, 0.75], 1000).alias(f"q{i}") for i in range(P)))
-    floors = [v**2 for v in FLOORS.values()]
-    diagonal = [1 / (((c(f"q{i}")[2] - c(f"q{i}")[0]) / 1.35) ** 2 + floors[i]) for i in range(P)]
+    diagonal = [1 / F.greatest((c(f"q{i}")[2] - c(f"q{i}")[0]) / 1.35, F.lit(v)) ** 2 for i, v in enumerate(LEAST.values())]
     estimates = stored(
         middle.select(
             "pool", F.array(*(c(f"q{i}")[1] for i in range(P))).alias("centre"),
@@ -137,7 +149,7 @@ def _verdicts(rows: DataFrame, pools: DataFrame, estimates: DataFrame, limit: fl
     return judged.withColumn("kept", ~c("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= limit))
 
 
-def judged(docs: DataFrame, share: float = 0.75, steps: int = 4, least: int = 100, limit: float = 6.0) -> DataFrame:
+def judged(docs: DataFrame, share: float = 0.75, steps: int = 4, least: int = 100, limit: float = LIMIT) -> DataFrame:
     """doc_id, the counts, base_failed, kept and distance (null without an estimate).
 
     `share` of a group's rows count as regular; `limit` is the distance in standard deviations.
@@ -148,7 +160,7 @@ def judged(docs: DataFrame, share: float = 0.75, steps: int = 4, least: int = 10
     )
 
 
-def kept(docs: DataFrame, share: float = 0.75, steps: int = 4, least: int = 100, limit: float = 6.0) -> DataFrame:
+def kept(docs: DataFrame, share: float = 0.75, steps: int = 4, least: int = 100, limit: float = LIMIT) -> DataFrame:
     """The documents that are kept, with all their columns. Texts are read again instead of being shuffled or stored."""
     frame, back = set_aside(docs, "doc_id", "text", "lang", "source")
     small = frame.select("doc_id", "text", "lang", "source")

@@ -352,6 +352,21 @@ def test_outliers_are_rejected_and_the_rest_stay(spark):
     assert all(r["kept"] for r in quality_outliers.judged(frame(spark, few, "doc_id bigint, text string, lang string, source string")).collect())
 
 
+@pytest.mark.parametrize("repeating", [0, 5])
+def test_texts_of_repeated_lines_are_outliers(spark, repeating):
+    """Such a text falls out of a source whose others repeat no line; one repeated line among many does not."""
+    rng = random.Random(14)
+    line = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(n))
+    clean = [[line(10) for _ in range(rng.randint(8, 60))] for _ in range(300)]
+    for x in clean[:repeating]:
+        x.append(x[0])
+    junk = [[*(line(50) for _ in range(10)), *["Share"] * 90] for _ in range(10)]
+    rows = [(i, "\n".join(t), "en", "s") for i, t in enumerate(clean + junk)]
+    got = {r["doc_id"]: r for r in quality_outliers.judged(frame(spark, rows, "doc_id bigint, text string, lang string, source string")).collect()}
+    assert not any(got[i]["kept"] or got[i]["base_failed"] for i in range(300, 310))
+    assert sum(not got[i]["kept"] for i in range(repeating, 300)) <= 3
+
+
 def test_estimate_is_that_of_all_regular_rows(spark):
     z = np.random.default_rng(1).normal(size=(2000, quality_outliers.P))
     upper = np.triu_indices(quality_outliers.P)
