@@ -86,10 +86,8 @@ class Searcher:
             exact = {x[2:] for x in found if x[0] == i}
             done = -1
             for a, b in sorted(windows):
-                if a < done:
-                    continue
-                # A window is as wide as one match can be; the next one that starts inside it is looked at from the match's end.
-                m = self.fuzzy[i].search(text, a, b + 1)
+                # A window is as wide as one match can be; one that starts inside a match is looked at from the match's end.
+                m = self.fuzzy[i].search(text, max(a, done), b + 1)
                 if m and not any(s < m.end() and m.start() < e for s, e in exact):
                     found.add((i, sum(m.fuzzy_counts), m.start(), m.end()))
                     done = m.end()

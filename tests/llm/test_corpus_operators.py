@@ -100,6 +100,22 @@ def test_pigeonhole_finds_every_notice_within_its_errors(spark):
         assert search.spans(f" before {''.join(letters)} after ".encode())
 
 
+def test_misspelt_notices_side_by_side_all_count():
+    """Runs of a notice, each with one letter changed, against the places they were put."""
+    rng = random.Random(15)
+    for notice in license_scan.NOTICES:
+        if not notice.errors:
+            continue
+        search = license_scan.Searcher([notice])
+        for n in (2, 3, 7):
+            line, want = " ", []
+            for _ in range(n):
+                at = rng.choice([k for k in range(1, len(notice.words) - 1) if " " not in notice.words[k - 1 : k + 2]])
+                want.append((0, 1, len(line), len(line) + len(notice.words)))
+                line += notice.words[:at] + "q" + notice.words[at + 1 :] + " "
+            assert search.spans(line.encode()) == want, line
+
+
 # ---------------------------------------------------------------------------- 2
 def test_fingerprints(spark, texts):
     docs = frame(spark, list(texts.items()))
