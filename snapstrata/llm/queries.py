@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapstrata.llm import bpe_lexicon, fingerprints, license_scan, near_dedup, packing, quality_outliers, quality_ranking, quotation_links, substring_dedup, url_filters
+from snapstrata.llm import (
+    bpe_lexicon, fingerprints, license_scan, merkle_manifest, near_dedup, packing, quality_outliers, quality_ranking,
+    quotation_links, substring_dedup, url_filters,
+)
 from snapstrata.llm.common import documents, vocabulary
 
 
@@ -55,6 +58,10 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.deduplicated(documents(spark, folder))
 
 
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle_manifest.manifest(documents(spark, folder))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_fingerprints": op2_fingerprints,
@@ -66,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filters": op8_url_filters,
     "op9_packing": op9_packing,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
 
@@ -125,4 +133,61 @@ fits AS (
 SELECT page_id, host, path, CASE WHEN listed = 'True' THEN text END AS rule, coalesce(action, 'allow') AS verdict,
        CASE WHEN listed = 'False' THEN text END AS pattern
 FROM pages_ LEFT JOIN (SELECT * FROM fits WHERE place = 1) USING (row)""",
+    # Leaves up to the roots by levels; then each document's proof and its fold, by levels again.
+    "op11_merkle_manifest": r"""
+WITH RECURSIVE fields AS (
+  SELECT doc_id, source, text,
+         coalesce(strlen(doc_id::varchar) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+         || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-') AS head,
+         replace(text, chr(10), '') AS less,
+         list_reduce(list_prepend(4294967295::bigint, flatten(list_transform(range(1, length(doc_id::varchar) + 1),
+           lambda i: [ascii((doc_id::varchar)[i])::bigint] || [(-1)::bigint, -1, -1, -1, -1, -1, -1, -1]))),
+           lambda crc, x: CASE WHEN x >= 0 THEN xor(crc, x) ELSE xor(crc // 2, 3988292384 * (crc % 2)) END) AS crc
+  FROM documents),
+leaves AS (
+  SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         CASE WHEN xor(crc, 4294967295) % 2 = 0 THEN sha256(head || coalesce(strlen(less) || ':' || less, '-')) END AS changed
+  FROM fields),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+         count(*) OVER (PARTITION BY source) AS size
+  FROM leaves),
+nodes AS (
+  SELECT 0 AS level, source, size, place, leaf AS node FROM placed
+  UNION ALL
+  SELECT level + 1, source, (size + 2) // 3, place // 3, sha256(string_agg(node, '' ORDER BY place))
+  FROM nodes WHERE size > 1 GROUP BY level, source, size, place // 3),
+subroots AS (
+  SELECT source, node AS subroot, row_number() OVER (ORDER BY source IS NOT NULL, source) - 1 AS place, count(*) OVER () AS size
+  FROM nodes WHERE size = 1),
+tops AS (
+  SELECT 0 AS level, size, place, subroot AS node FROM subroots
+  UNION ALL
+  SELECT level + 1, (size + 2) // 3, place // 3, sha256(string_agg(node, '' ORDER BY place))
+  FROM tops WHERE size > 1 GROUP BY level, size, place // 3),
+runs AS (
+  SELECT level, source, place // 3 AS run, list(node ORDER BY place) AS run_nodes FROM nodes WHERE size > 1 GROUP BY ALL),
+top_runs AS (SELECT level, place // 3 AS run, list(node ORDER BY place) AS run_nodes FROM tops WHERE size > 1 GROUP BY ALL),
+inner_ AS (
+  SELECT p.doc_id, p.source, p.leaf, 0 AS level, p.place, '' AS proof, coalesce(p.changed, p.leaf) AS folded, r.run_nodes
+  FROM placed p LEFT JOIN runs r ON r.level = 0 AND r.source IS NOT DISTINCT FROM p.source AND r.run = p.place // 3
+  UNION ALL
+  SELECT i.doc_id, i.source, i.leaf, i.level + 1, i.place // 3,
+         i.proof || array_to_string(i.run_nodes[:i.place % 3] || i.run_nodes[i.place % 3 + 2:], ''),
+         sha256(array_to_string(i.run_nodes[:i.place % 3] || [i.folded] || i.run_nodes[i.place % 3 + 2:], '')), r.run_nodes
+  FROM inner_ i LEFT JOIN runs r ON r.level = i.level + 1 AND r.source IS NOT DISTINCT FROM i.source AND r.run = i.place // 9
+  WHERE i.run_nodes IS NOT NULL),
+outer_ AS (
+  SELECT i.doc_id, i.leaf, s.subroot, 0 AS level, s.place, i.proof, i.folded, r.run_nodes
+  FROM inner_ i JOIN subroots s ON s.source IS NOT DISTINCT FROM i.source LEFT JOIN top_runs r ON r.level = 0 AND r.run = s.place // 3
+  WHERE i.run_nodes IS NULL
+  UNION ALL
+  SELECT i.doc_id, i.leaf, i.subroot, i.level + 1, i.place // 3,
+         i.proof || array_to_string(i.run_nodes[:i.place % 3] || i.run_nodes[i.place % 3 + 2:], ''),
+         sha256(array_to_string(i.run_nodes[:i.place % 3] || [i.folded] || i.run_nodes[i.place % 3 + 2:], '')), r.run_nodes
+  FROM outer_ i LEFT JOIN top_runs r ON r.level = i.level + 1 AND r.run = i.place // 9
+  WHERE i.run_nodes IS NOT NULL)
+SELECT doc_id, leaf, subroot, (SELECT node FROM tops WHERE size = 1) AS root, sha256(proof) AS proof_sha256,
+       folded AS folded_root, folded = (SELECT node FROM tops WHERE size = 1) AS verified
+FROM outer_ WHERE run_nodes IS NULL""",
 }
