@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from snapstrata.llm import (
     bpe_lexicon, fingerprints, license_scan, merkle_manifest, near_dedup, packing, quality_outliers, quality_ranking,
-    quotation_links, substring_dedup, url_filters,
+    quotation_links, substring_dedup, token_alignment, url_filters,
 )
 from snapstrata.llm.common import documents, vocabulary
 
@@ -62,6 +62,10 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return merkle_manifest.manifest(documents(spark, folder))
 
 
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return token_alignment.aligned(documents(spark, folder), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_fingerprints": op2_fingerprints,
@@ -74,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_packing": op9_packing,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 
