@@ -114,13 +114,14 @@ def same(x, y):
     return all(a.tolist() == b.tolist() if hasattr(a, "tolist") else a == b for a, b in zip(x, y))
 
 
-def test_fragments_are_a_monoid():
+@pytest.mark.parametrize("n", [150, 600])
+def test_fragments_are_a_monoid(n):
     made, rng = T.aligner(A, B), random.Random(9)
     text = LONG[0][:2000]
     whole, ids_a, ids_b = (" " + text).encode(), made.a.encode([" " + text])[0], made.b.encode([text])[0]
-    edges = sorted({0, len(whole), *(rng.randrange(len(whole)) for _ in range(600))})
+    edges = sorted({0, len(whole), *(rng.randrange(len(whole)) for _ in range(n))})
     parts = [made.fragment(ids_a, ids_b, whole, low, high) for low, high in zip(edges, edges[1:])]
-    assert any(f.closed is None for f in parts) and any(len(f.tail_a) for f in parts)
+    assert any(f.closed is None for f in parts) if n == 600 else any(len(f.tail_a) for f in parts)
     while len(parts) > 1:  # in any bracketing
         i = rng.randrange(len(parts) - 1)
         parts[i : i + 2] = [parts[i] + parts[i + 1]]
