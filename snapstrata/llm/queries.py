@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapstrata.llm import (
-    bpe_lexicon, fingerprints, license_scan, merkle_manifest, near_dedup, packing, quality_outliers, quality_ranking,
-    quotation_links, substring_dedup, token_alignment, url_filters,
+    bpe_lexicon, fingerprints, language_id, license_scan, merkle_manifest, near_dedup, packing, quality_outliers,
+    quality_ranking, quotation_links, substring_dedup, token_alignment, url_filters,
 )
 from snapstrata.llm.common import documents, vocabulary
 
@@ -62,6 +62,11 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return merkle_manifest.manifest(documents(spark, folder))
 
 
+def op12_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    return language_id.predicted(docs, language_id.fitted(docs))
+
+
 def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return token_alignment.aligned(documents(spark, folder), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
 
@@ -78,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_packing": op9_packing,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_language_id": op12_language_id,
     "op13_token_alignment": op13_token_alignment,
 }
 
