@@ -199,12 +199,14 @@ def run(
     within: Sequence[str] = (),
     stage: Stage | None = None,
     keys: DataFrame | None = None,
+    last: Stage | None = None,
 ) -> Split:
     """Adds what the rules need, evaluates them, and splits. No action runs here but those of ``stage``.
 
     ``typed`` carries the ``packed`` raw row. Copies are counted over all rows, blocked ones
     included; so is the first occurrence, which blocks later ones even when it is itself blocked.
-    ``keys`` is a stored ``repeated_keys``, for a plan that is lazy but for that lookup.
+    ``keys`` is a stored ``repeated_keys``, for a plan that is lazy but for that lookup. ``last`` stages the evaluated
+    rows in place of ``stage``, such as a write that takes their ``counts``.
     """
     store = stage or (lambda df: df)
     hashed = typed.withColumn(CONTENT_HASH, content_hash(content))
@@ -214,20 +216,21 @@ def run(
     counted = clone_count(hashed, CONTENT_HASH, within=within, lookup=copies)
     ready = first_occurrence(counted, key, seq, within=within, lookup=keys)
     if stage is not None:
-        return split(stage(with_original(evaluate(ready, rules))))
+        return split((last or stage)(with_original(evaluate(ready, rules))))
     return Split(
         lambda: with_original(evaluate(ready, rules)),
         lambda: with_original(evaluate(unblocked(ready, rules), rules)),
     )
 
 
+def counts(rules: Sequence[Rule]) -> dict[str, Column]:
+    """Blocked rows and violations per rule, as aggregates of evaluated rows."""
+    return {"bloqueadas": F.count_if(F.col(BLOCKED)), **{r.code: F.count_if(F.col(r.flag)) for r in rules}}
+
+
 def summarise(evaluated: DataFrame, rules: Sequence[Rule], *, by: Sequence[str] = ()) -> DataFrame:
     """Rows, blocked rows and violations per rule in one pass."""
-    measures = [
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(F.col(BLOCKED)).alias("bloqueadas"),
-        *[F.count_if(F.col(r.flag)).alias(r.code) for r in rules],
-    ]
+    measures = [F.count(F.lit(1)).alias("total"), *[c.alias(n) for n, c in counts(rules).items()]]
     return evaluated.groupBy(*by).agg(*measures)
 
 

@@ -259,6 +259,7 @@ def evaluate(
     *,
     stage: Callable[[DataFrame], DataFrame] | None = stored,
     keys: DataFrame | None = None,
+    last: Callable[[DataFrame], DataFrame] | None = None,
 ) -> quality.Split:
     """Typing, rules and split of the rows of one or several loads, each load by itself.
 
@@ -276,6 +277,7 @@ def evaluate(
         within=[DAY],
         stage=stage,
         keys=keys,
+        last=last,
     )
 
 

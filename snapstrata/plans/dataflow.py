@@ -6,21 +6,28 @@ after a failure. Steps are plain functions; when to call them is left to the cal
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapstrata.operators import checks, dims, loads, merge, quality, scd2
 from snapstrata.operators.params import Parameters
 from snapstrata.plans import customers as preset
-from snapstrata.sources import generations, ingest, scratch, slices
+from snapstrata.sources import generations, ingest, measured, scratch, slices
 
 DAY = ingest.LOAD_DAY
 
+#: Rows of each fact for one of the snapshot, and what is added up while facts are written.
+FACT_ROWS = {"fato_gasto_categoria": 6, "fato_compras_canal": 3, "fato_resposta_campanha": 5}
+FACT_SUMS = {"fato_cliente_snapshot": "total_gasto", "fato_gasto_categoria": "valor_gasto"}
+
+
+def fact_measures(name: str) -> dict[str, Column]:
+    return {"total": F.sum(FACT_SUMS[name])} if name in FACT_SUMS else {}
+
 
 def _schema(df: DataFrame) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields])
@@ -92,19 +99,27 @@ class Warehouse:
 
     # ------------------------------------------------------------------ silver
     def silver(self, day: date, run_id: str) -> DataFrame:
-        """Rule results and quarantine are kept even when the load fails its gate; accepted rows are not."""
-        split = preset.evaluate(self.bronze_rows(day), self.params)
-        rules = preset.ruleset(self.params)
-        summary = scratch.stored(quality.summarise(split.evaluated, rules, by=[DAY]), "resumo")
+        """Rule results and quarantine are kept even when the load fails its gate; accepted rows are not.
+
+        What each rule found is counted while the evaluated rows are stored.
+        """
+        rules, found = preset.ruleset(self.params), {}
+
+        def kept(evaluated: DataFrame) -> DataFrame:
+            rows, figures = measured.stored(evaluated, "avaliadas", **quality.counts(rules))
+            found.update(figures)
+            return rows
+
+        split = preset.evaluate(self.bronze_rows(day), self.params, last=kept)
+        summary = self.spark.range(1).select(
+            F.lit(day).alias(DAY), *[F.lit(n).cast("bigint").alias("total" if name == measured.ROWS else name) for name, n in found.items()]
+        )
         results = quality.results(summary, rules, by=[DAY]).withColumn("tabela", F.lit("silver.marketing_cliente"))
         slices.append_part(_stamped(results, run_id), self.path("dq_resultado"), day, run_id)
-        slices.replace_slice(
-            _stamped(preset.quarantined(split, self.params), run_id), self.path("quarentena"), day
-        )
-        gated = quality.gate(summary, self.params.get("limite_rejeicao_pct", float))
-        quality.require_gate(gated)
+        slices.write_slice(_stamped(preset.quarantined(split, self.params), run_id), self.path("quarentena"), day)
+        quality.require_gate(quality.gate(summary, self.params.get("limite_rejeicao_pct", float)))
         clean = _stamped(preset.accepted(split, self.params), run_id)
-        slices.replace_slice(clean, self.path("silver"), day)
+        slices.write_slice(clean, self.path("silver"), day)
         return slices.read_slice(self.spark, self.path("silver"), day, _schema(clean))
 
     def rule_results(self) -> DataFrame:
@@ -162,15 +177,19 @@ class Warehouse:
     # ------------------------------------------------------------------ facts
     def facts(self, clean: DataFrame, dim: DataFrame, day: date, run_id: str) -> dict[str, DataFrame]:
         """The version join is stored once and read by all four facts; none is written if it lost a row."""
-        base = scratch.stored(preset.with_version(clean, scd2.as_of(dim, F.lit(day))), "base_fatos")
-        checks.require(checks.same_count("silver = snapshot", clean, base))
+        base, joined = measured.stored(preset.with_version(clean, scd2.as_of(dim, F.lit(day))), "base_fatos")
+        counted = measured.row(self.spark, aceitas=self._figures("silver", clean, day), base=joined)
+        checks.require(checks.compared(counted, [checks.adds_up("cada linha aceita acha a sua versao", "aceitas_linhas", "base_linhas")]))
         out = {}
         for name, fact in preset.build_facts(base).items():
             stamped = fact.withColumns({ingest.RUN: F.lit(run_id), "_carga_ts": F.current_timestamp()})
-            slices.replace_slice(stamped, self.path(name), day)
+            slices.write_slice(stamped, self.path(name), day, **fact_measures(name))
             out[name] = slices.read_slice(self.spark, self.path(name), day, _schema(stamped))
         return out
 
+    def _figures(self, name: str, rows: DataFrame, day: date) -> measured.Figures:
+        return slices.figures(self.spark, self.path(name), day, _schema(rows), **fact_measures(name))
+
     # ------------------------------------------------------------------ whole load
     def process(self, file: str, day: date, run_id: str) -> dict[str, DataFrame]:
         """All layers of one load; returns its tables by name. Intermediates are gone at the end."""
@@ -182,32 +201,33 @@ class Warehouse:
         return {"bronze": self.bronze_rows(day), "silver": clean, **dimensions, **facts}
 
     def verify(self, tables: dict[str, DataFrame], day: date) -> DataFrame:
-        """Reconciliation of one load over its tables."""
-        snapshot, clean, dim = tables["fato_cliente_snapshot"], tables["silver"], tables["dim_cliente"]
-        rejected_schema = T.StructType(
-            [T.StructField(preset.RAW_ID, T.StringType()), T.StructField(DAY, T.DateType())]
-        )
-        rejected = slices.read_slice(self.spark, self.path("quarentena"), day, rejected_schema)
-        keys = ["pais", "escolaridade", "estado_civil"]
-        owners: dict[str, tuple[DataFrame, str]] = {"sk_cliente": (dim, "sk_cliente")}
-        owners |= {f"sk_{k}": (tables[f"dim_{k}"], f"sk_{k}") for k in keys}
+        """Reconciliation of one load over its tables.
+
+        Rows and sums are those their writes have left; only the snapshot and the versions are read, once each.
+        """
+        snapshot, dim = tables["fato_cliente_snapshot"], tables["dim_cliente"]
+        rejected = self.spark.createDataFrame([], T.StructType([T.StructField(preset.RAW_ID, T.StringType())]))
+        figures = {name: self._figures(name, tables[name], day) for name in ("bronze", "silver", "fato_cliente_snapshot", *FACT_ROWS)}
+        figures["quarentena"] = self._figures("quarentena", rejected, day)
+        owners: checks.Roles = {"sk_cliente": (dim, "sk_cliente")}
+        owners |= {f"sk_{k}": (tables[f"dim_{k}"], f"sk_{k}") for k in ("pais", "escolaridade", "estado_civil")}
         days = {c: (tables["dim_data"], "sk_data") for c in ("sk_data_carga", "sk_data_cadastro")}
-        multiples: Sequence[tuple[str, int]] = [
-            ("fato_gasto_categoria", 6), ("fato_compras_canal", 3), ("fato_resposta_campanha", 5),
-        ]
-        return checks.run_all(
+        figures["orfas"] = checks.orphan_rows(snapshot, {"membros": owners, "datas": days}).first().asDict()
+        figures["versoes"] = checks.version_figures(dim, "id_cliente", "sk_cliente").first().asDict()
+        base = "fato_cliente_snapshot_linhas"
+        return checks.compared(
+            measured.row(self.spark, **figures),
             [
-                checks.not_empty("bronze > 0", tables["bronze"]),
-                checks.partition_complete("bronze = silver + quarentena", tables["bronze"], [clean, rejected]),
-                checks.same_count("silver = fato_cliente_snapshot", clean, snapshot),
-                *[checks.multiple_of(f"{name} = {n} x snapshot", tables[name], snapshot, n) for name, n in multiples],
-                checks.same_sum(
-                    "gasto: snapshot = categoria", snapshot, "total_gasto", tables["fato_gasto_categoria"], "valor_gasto"
-                ),
-                checks.one_current("uma versao atual por cliente", dim, "id_cliente"),
-                checks.valid_interval("vigencia valida", dim),
-                checks.no_gap_or_overlap("versoes contiguas", dim, "id_cliente"),
-                checks.orphans("sem chave orfa", snapshot, owners),
-                checks.orphans("sem data orfa", snapshot, days),
-            ]
+                checks.some("o arquivo trouxe linhas", "bronze_linhas"),
+                checks.adds_up("toda linha recebida foi aceita ou retida", "bronze_linhas", "silver_linhas", "quarentena_linhas"),
+                checks.adds_up("cada cliente aceito tem uma linha de fato", "silver_linhas", base),
+                *[checks.adds_up(f"{n} linhas por cliente em {name}", f"{name}_linhas", base, times=n) for name, n in FACT_ROWS.items()],
+                checks.same_amount("os dois fatos somam o mesmo gasto", "fato_cliente_snapshot_total", "fato_gasto_categoria_total"),
+                checks.none("nenhum cliente com duas versoes abertas", "versoes_atuais"),
+                checks.none("nenhuma versao acaba antes de comecar", "versoes_invalidas"),
+                checks.none("cada versao comeca onde a anterior acaba", "versoes_quebras"),
+                checks.none("nenhuma chave de versao serve a duas linhas", "versoes_repetidas"),
+                checks.none("todo fato acha os seus membros", "orfas_membros"),
+                checks.none("todo fato acha as suas datas", "orfas_datas"),
+            ],
         )

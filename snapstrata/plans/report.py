@@ -79,9 +79,9 @@ def run_succeeded(log: DataFrame, *, run: str, time: str, tie: str) -> DataFrame
 
 # ---------------------------------------------------------------------------- business
 def newest_two(state: DataFrame) -> DataFrame:
-    """The two latest successful loads, as date keys, newest first."""
+    """The two latest successful loads, as dates and date keys, newest first."""
     done = state.where(F.col("status") == "SUCESSO").select("data_carga")
-    return done.orderBy(F.col("data_carga").desc()).limit(2).select(keys.date_key(F.col("data_carga")).alias("sk_data_carga"))
+    return done.orderBy(F.col("data_carga").desc()).limit(2).select("data_carga", keys.date_key(F.col("data_carga")).alias("sk_data_carga"))
 
 
 def kpi(snapshot: DataFrame) -> DataFrame:

@@ -151,20 +151,20 @@ def _checks() -> str:
     parts = {
         "V01 primeira carga com sucesso": ("e1 = 'SUCESSO'", "e1"),
         "V01 ultima carga com sucesso": ("e2 = 'SUCESSO'", "e2"),
-        "V02 bronze nao vazia": ("b > 0", "b"),
-        "V03 bronze = silver + quarentena": ("b = s + q", "b || ' / ' || (s + q)"),
-        "V04 silver = snapshot": ("s = f", "s || ' / ' || f"),
-        "V05 gasto = 6 x snapshot": ("g = 6 * f", "g || ' / ' || f"),
-        "V06 canal = 3 x snapshot": ("c = 3 * f", "c || ' / ' || f"),
-        "V07 campanha = 5 x snapshot": ("p = 5 * f", "p || ' / ' || f"),
-        "V08 gasto igual nos dois fatos": ("tf = tg", "tf || ' / ' || tg"),
-        "V09 uma versao atual": ("v9 = 0", "v9"),
-        "V10 vigencia valida": ("v10 = 0", "v10"),
-        "V11 sem chave orfa": ("v11 = 0", "v11"),
-        "V12 sem data orfa": ("v12 = 0", "v12"),
+        "V02 a carga trouxe linhas": ("b > 0", "b"),
+        "V03 toda linha aceita ou retida": ("b = s + q", "b || ' / ' || (s + q)"),
+        "V04 um fato por cliente aceito": ("s = f", "s || ' / ' || f"),
+        "V05 6 linhas por cliente": ("g = 6 * f", "g || ' / ' || f"),
+        "V06 3 linhas por cliente": ("c = 3 * f", "c || ' / ' || f"),
+        "V07 5 linhas por cliente": ("p = 5 * f", "p || ' / ' || f"),
+        "V08 mesmo gasto nos dois fatos": ("tf = tg", "tf || ' / ' || tg"),
+        "V09 uma versao aberta": ("v9 = 0", "v9"),
+        "V10 intervalos em ordem": ("v10 = 0", "v10"),
+        "V11 todo fato acha os membros": ("v11 = 0", "v11"),
+        "V12 todo fato acha as datas": ("v12 = 0", "v12"),
         "V13 sem etapa com erro": ("v13 = 0", "v13"),
-        "V14 versoes contiguas": ("v14 = 0", "v14"),
-        "V15 chave de versao unica": ("v15 = 0", "v15"),
+        "V14 versoes sem intervalo entre si": ("v14 = 0", "v14"),
+        "V15 chave de versao sem repeticao": ("v15 = 0", "v15"),
     }
     long = [
         o.domain_fact(preset.CATEGORIES, "valor_gasto", "categoria", "decimal(12,2)", name="lg"),
