@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapstrata.llm.common import mapped, texts
+from snapstrata.llm.common import mapped, stored, texts
 
 WINDOW, HIDDEN, LANES = 64, 10, 2048
 WINDOWS, MOST, STEPS, BATCH = 8, 500, 300, 192
@@ -160,7 +160,8 @@ def fitted(docs: DataFrame, most: int = MOST, steps: int = STEPS, hidden: int =
     c = F.col
     known = docs.select("doc_id", "text", c("lang").cast("string").alias("lang")).where(c("lang").isNotNull() & c("text").isNotNull() & ~held_out(c("doc_id")))
     # A hash below a share of its range first, so that few rows beyond the bound are ranked, whatever a language's size.
-    counts = known.groupBy("lang").agg(F.count("*").alias("n"))
+    # Stored, so that Spark knows that this table is small and doesn't deal the texts by language to join it.
+    counts = stored(known.groupBy("lang").agg(F.count("*").alias("n")), "langs")
     draw = F.xxhash64(F.lit(12), "doc_id", "text")
     share = F.least(F.lit(1.0), F.lit(2.0 * most) / c("n"))
     near = known.join(counts, "lang").withColumn("draw", draw).where((c("draw") / 2.0**64 + 0.5) <= share)
