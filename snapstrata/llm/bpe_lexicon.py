@@ -3,7 +3,8 @@
 Words of all texts are counted; those that make up at least `share` of them all (so at most 1 / share words) are
 encoded once and compiled, in order, into an automaton in which equal suffixes are one state. Along a word's path
 the outputs add up to its number, and the number leads to its ids. The arrays go to the workers as one block that
-they map into memory. Words of a batch walk the automaton together; words it lacks are merged by the library.
+they map into memory. Words of a batch walk the automaton together; words it lacks are merged by tiktoken with the
+vocabulary's ranks, and by the library where they may hold a special token.
 
 Texts are cut where the vocabulary's own pre-tokenizer always cuts: before a space that opens a word and around
 white space. So ids of a text are those of its words one after the other. Each text is encoded by itself; the only
@@ -156,20 +157,35 @@ def library(path: str):
     return tokenizer
 
 
+def unicode_bytes() -> dict[str, int]:
+    """Byte-level vocabularies write bytes as printable characters: those that are printable in Latin-1 as
+    themselves, the others in order from U+0100 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in printable)}
+
+
 def token_bytes(path: str) -> list[bytes]:
-    """What each id stands for. Byte-level vocabularies write bytes as printable characters: those that are
-    printable in Latin-1 as themselves, the others in order from U+0100 on."""
+    """What each id of a byte-level vocabulary stands for."""
     with open(path, encoding="utf-8") as file:
         spec = json.load(file)
-    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    byte = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in printable)}
+    byte = unicode_bytes()
     vocabulary = {i: bytes(byte[c] for c in t) for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"].encode() for t in spec["added_tokens"]}
     return [vocabulary.get(i, b"") for i in range(max(vocabulary) + 1)]
 
 
+def merger(path: str):
+    """tiktoken with the vocabulary's ranks; special tokens are plain text to it. Its split is the vocabulary's own."""
+    import public_tokenizers
+    import tiktoken
+
+    special = library(path).get_added_tokens_decoder()
+    ranks = {t: i for i, t in enumerate(token_bytes(path)) if i not in special}
+    return tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 class Codec:
     def __init__(self, path: str, block: bytes, bound: int = 600_000):
-        self.lexicon, self.library, self.bytes = Lexicon(block), library(path), token_bytes(path)
+        self.lexicon, self.library, self.bytes, self.merger = Lexicon(block), library(path), token_bytes(path), merger(path)
         self.bound = bound
         self.merged: dict[str, bytes] = {}  # pieces that had to be merged; the older half goes when there are too many
 
@@ -181,7 +197,11 @@ class Codec:
         new = list({p for ps in split.values() for p in ps}.difference(merged))
         known = self.lexicon.found(new)
         new = [p for p in new if p not in known]
-        merged.update(zip(new, [array("I", x.ids).tobytes() for x in self.library.encode_batch_fast(new, add_special_tokens=False)]))
+        # What may hold a special token goes to the library.
+        marked = [p for p in new if "<|" in p]
+        merged.update(zip(marked, [array("I", x.ids).tobytes() for x in self.library.encode_batch_fast(marked, add_special_tokens=False)]))
+        merge = self.merger.encode_ordinary
+        merged.update([(p, array("I", merge(p)).tobytes()) for p in new if "<|" not in p])
         for w, ps in split.items():
             out[w] = b"".join([known[p] if p in known else merged[p] for p in ps])
         if len(merged) > self.bound:

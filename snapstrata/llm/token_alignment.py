@@ -24,7 +24,6 @@ ignored.
 from __future__ import annotations
 
 import hashlib
-import os
 import re
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -35,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapstrata.llm.bpe_lexicon import token_bytes
+from snapstrata.llm.bpe_lexicon import merger, token_bytes
 from snapstrata.llm.common import stored, texts
 
 CHUNK, FAN = 1 << 15, 4
@@ -48,20 +47,10 @@ SAFE = re.compile(
 
 
 class Bytes:
-    """Byte-level vocabulary of the tokenizers library, by the ranks of its tokens."""
+    """Byte-level vocabulary of the tokenizers library, by the ranks of its tokens; special ones are plain text."""
 
     def __init__(self, path: str):
-        import public_tokenizers
-        import tiktoken
-
-        self.tokens = token_bytes(path)
-        # Special tokens are plain text here; those of this vocabulary stand behind all others.
-        from tokenizers import Tokenizer
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        special = Tokenizer.from_file(path).get_added_tokens_decoder()
-        ranks = {t: i for i, t in enumerate(self.tokens) if i not in special}
-        self.encoding = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.tokens, self.encoding = token_bytes(path), merger(path)
 
     def encode(self, items: list[str]) -> list[list[int]]:
         return [self.encoding.encode_ordinary(x) for x in items]
