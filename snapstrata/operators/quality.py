@@ -92,11 +92,15 @@ def first_occurrence(
 ) -> DataFrame:
     """Adds the lowest ``seq`` of each key that repeats (NULL for the others).
 
-    ``seq`` has to be unique within a key. ``lookup`` is a stored ``repeated_keys``.
+    ``seq`` has to be unique within a key. ``lookup`` is a stored ``repeated_keys``. Rows without a key find nothing; in
+    a join by shuffle their ``seq`` spreads them, so that they don't meet in one partition.
     """
     if lookup is None:
         lookup = repeated_keys(df, key, seq, within=within)
-    return df.join(lookup, [*within, key], "left").select(*df.columns, FIRST_SEQ)
+    # The same for a key on either side; a constant there would be optimized away, and with it the spreading.
+    wide = df.withColumn("_monte", F.when(F.col(key).isNull(), F.col(seq).cast("bigint")).otherwise(F.xxhash64(key)))
+    found = lookup.withColumn("_monte", F.xxhash64(key))
+    return wide.join(found, [*within, key, "_monte"], "left").select(*df.columns, FIRST_SEQ)
 
 
 def content_hash(columns: Sequence[str]) -> Column:

@@ -79,8 +79,9 @@ class Warehouse:
         read = ingest.read_delimited(
             self.spark, file, sep=self.params.get("csv_separador"), encoding=self.params.get("csv_encoding")
         )
-        rows, extra = ingest.apply_contract(read, preset.CONTRACT)
-        audited = ingest.add_audit(rows, load_day=F.lit(day), source=F.lit(file), run_id=run_id)
+        contracted, extra = ingest.apply_contract(read, preset.CONTRACT)
+        rows = ingest.numbered(contracted)
+        audited = ingest.add_audit(rows, load_day=F.lit(day), source=F.lit(file), run_id=run_id, seq=F.col(ingest.ROW_SEQ))
         ingest.require_rows(slices.replace_slice(audited, self.path("bronze"), day), file)
         return extra
 

@@ -133,11 +133,22 @@ def delimited_file(spark, folder):
     delivered = binding.customer_snapshots(spark, folder).select(*[F.col(c).alias(headers[c]) for c in preset.COLUMNS])
     delivered.write.csv(path, header=True, sep=sep, encoding=encoding)
     rows, _ = ingest.apply_contract(ingest.read_delimited(spark, path, sep=sep, encoding=encoding), preset.CONTRACT)
-    audited = ingest.add_audit(rows, load_day=F.lit(LATEST), source=F.lit("entrega.csv"), run_id="run-1")
-    stored = scratch.stored(audited, "bronze")
-    ingest.require_rows(stored.count(), path)
-    numbers = stored.agg(F.count_distinct(ingest.ROW_SEQ).alias("sequencias"))
-    return plain(stored.join(F.broadcast(numbers)), *preset.COLUMNS, DAY, ingest.SOURCE_FILE, ingest.ROW_HASH, "sequencias")
+    numbered = ingest.numbered(rows)
+    audited = ingest.add_audit(numbered, load_day=F.lit(LATEST), source=F.lit("entrega.csv"), run_id="run-1", seq=F.col(ingest.ROW_SEQ))
+    stored, figures = measured.stored(audited, "bronze")
+    ingest.require_rows(figures[measured.ROWS], path)
+    numbers = stored.agg(F.count_distinct(ingest.ROW_SEQ).alias("sequencias")).scalar()
+    return plain(stored, *preset.COLUMNS, DAY, ingest.SOURCE_FILE, ingest.ROW_HASH, numbers.alias("sequencias"))
+
+
+def row_numbers(spark, folder):
+    """Places of the snapshot's rows in the files of a delivery that holds them in their order."""
+    path = scratch.new_path(spark, "entrega")
+    raw = binding.customer_snapshots(spark, folder).select(F.col("id_cliente").alias("ID"), F.col(ingest.ROW_SEQ).alias("Ordem"))
+    raw.repartitionByRange("Ordem").sortWithinPartitions("Ordem").write.csv(path, header=True, sep=";")
+    read = ingest.read_delimited(spark, path, sep=";", encoding="UTF-8")
+    rows, _ = ingest.apply_contract(read, {"ID": "id_cliente", "Ordem": "ordem"})
+    return ingest.numbered(rows).select("id_cliente", F.col("ordem").cast("bigint").alias("seq"), F.col(ingest.ROW_SEQ).alias("linha"))
 
 
 def row_hash(spark, folder):
@@ -789,7 +800,7 @@ def resolve_params(spark, folder):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        customer_snapshot, contract_projection, audit_columns, delimited_file, row_hash, typed_customers,
+        customer_snapshot, contract_projection, audit_columns, delimited_file, row_numbers, row_hash, typed_customers,
         quality_accepted, quality_quarantine, quality_summary, quality_gate, content_clones,
         first_occurrence, occurrence_number,
         calendar, calendar_kept, dim_members, dim_marital, dim_ordered, dim_static, bands, surrogate_keys,

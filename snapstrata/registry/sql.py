@@ -303,6 +303,8 @@ def texts() -> dict[str, str]:
         # A file does not tell an empty text from a missing one.
         "delimited_file": f"{f('raw')}, lido as (select dia, {', '.join(f"nullif({c}, '') as {c}" for c in preset.COLUMNS)} from raw) "
         f"select {RAW}, {DIA}, 'entrega.csv' as _arquivo_origem, sha256({o.text_of(preset.COLUMNS, '||')}) as _hash_linha, (select count(*) from raw) as sequencias from lido",
+        # An empty id comes back from a file as NULL.
+        "row_numbers": f"{f('raw')} select nullif(id_cliente, '') as id_cliente, seq, row_number() over (order by seq) - 1 as linha from raw",
         "row_hash": f"{f('raw')} select id_cliente, seq, sha256({o.text_of(preset.COLUMNS, '||')}) as hash_linha from raw",
         "typed_customers": f"{f('typed')} select {TYPED}, {DIA}, seq, id_cliente_raw from typed",
         "quality_accepted": f"{f('silver')} select {_plain(CLEAN)}, hash_conteudo, dq_alertas, {DIA} from silver",
