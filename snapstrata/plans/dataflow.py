@@ -6,6 +6,7 @@ after a failure. Steps are plain functions; when to call them is left to the cal
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
 
@@ -20,6 +21,18 @@ from snapstrata.sources import generations, ingest, measured, scratch, slices
 
 DAY = ingest.LOAD_DAY
 
+#: Columns of the load state.
+STATE = "controle_carga"
+STATE_SCHEMA = T.StructType([
+    T.StructField(name, kind)
+    for name, kind in {
+        loads.DAY: T.DateType(), "arquivo": T.StringType(), "caminho": T.StringType(), "tamanho_bytes": T.LongType(), loads.FINGERPRINT: T.StringType(),
+        loads.STATUS: T.StringType(), loads.ATTEMPTS: T.IntegerType(), "linhas_bronze": T.LongType(), "linhas_silver": T.LongType(),
+        "linhas_quarentena": T.LongType(), "mensagem": T.StringType(), "run_id_ultimo": T.StringType(),
+        "criado_em": T.TimestampType(), "atualizado_em": T.TimestampType(),
+    }.items()
+])
+
 #: Rows of each fact for one of the snapshot, and what is added up while facts are written.
 FACT_ROWS = {"fato_gasto_categoria": 6, "fato_compras_canal": 3, "fato_resposta_campanha": 5}
 FACT_SUMS = {"fato_cliente_snapshot": "total_gasto", "fato_gasto_categoria": "valor_gasto"}
@@ -50,22 +63,22 @@ class Warehouse:
     def candidates(self, folder: str, skip: DataFrame | None = None) -> DataFrame:
         """Valid files of the landing folder with the fingerprints of their lines.
 
-        ``skip`` has dates (``data_carga``) that need no look, such as those loaded with success;
-        their files are not read. The names of the others, one per delivery, pass through the driver.
+        ``skip`` has dates (``data_carga``) that need no look, such as those loaded with success. Which files are read is
+        said by a pattern and by the first and last name wanted, which leave files out before they are opened, and by a
+        semi join with the names: the list itself stays in Spark.
         """
-        found = loads.manifest(
-            loads.discover(self.spark, folder),
-            prefix=self.params.get("arquivo_prefixo"),
-            extension=self.params.get("arquivo_extensao"),
-        ).where("nome_valido")
+        prefix, extension = (self.params.get(f"arquivo_{x}") for x in ("prefixo", "extensao"))
+        found = loads.manifest(loads.discover(self.spark, folder), prefix=prefix, extension=extension).where("nome_valido")
         if skip is not None:
             found = found.join(skip.select(loads.DAY), loads.DAY, "left_anti")
-        files = [r["caminho"] for r in found.select("caminho").toLocalIterator()]
-        if not files:
+        name = F.lower(F.col("arquivo"))
+        first, last = found.agg(F.min(name), F.max(name)).first()
+        if first is None:
             return found.drop("nome_valido").withColumn(loads.FINGERPRINT, F.lit(None).cast("string"))
-        lines = self.spark.read.text(files).select("value", F.col("_metadata.file_name").alias("arquivo"))
-        prints = loads.fingerprint(lines, ["value"], by=["arquivo"])
-        return found.join(prints, "arquivo", "left").drop("nome_valido")
+        any_case = "".join(f"[{x.lower()}{x.upper()}]" if x.isalpha() else x for x in f"{prefix}_????????.{extension}")
+        lines = self.spark.read.option("pathGlobFilter", any_case).text(folder).select("value", F.col("_metadata.file_name").alias("arquivo"))
+        wanted = lines.where(name.between(first, last)).join(found.select("arquivo"), "arquivo", "left_semi")
+        return found.join(loads.fingerprint(wanted, ["value"], by=["arquivo"]), "arquivo", "left").drop("nome_valido")
 
     def badly_named(self, folder: str) -> DataFrame:
         extension = self.params.get("arquivo_extensao")
@@ -171,14 +184,22 @@ class Warehouse:
         else:
             current = generations.read_versions(self.spark, path, schema, scd2.CURRENT, number)
             moved = scd2.apply_snapshot(current.where(scd2.CURRENT), source, F.lit(day), layout)
-        written = generations.write_next(moved, path, after=number, partition_by=(scd2.CURRENT,))
+        written = generations.write_versions(moved, path, after=number, current=scd2.CURRENT, end=scd2.TO)
         generations.drop_superseded(self.spark, path, written, scd2.CURRENT)
         return generations.read_versions(self.spark, path, schema, scd2.CURRENT)
 
+    def versions_since(self, dim: DataFrame, day: date) -> DataFrame:
+        """The customer versions of the newest generation, without the folders of those that ended in years before the day."""
+        return generations.read_versions(self.spark, self.path("dim_cliente"), _schema(dim), scd2.CURRENT, since=day)
+
     # ------------------------------------------------------------------ facts
     def facts(self, clean: DataFrame, dim: DataFrame, day: date, run_id: str) -> dict[str, DataFrame]:
-        """The version join is stored once and read by all four facts; none is written if it lost a row."""
-        base, joined = measured.stored(preset.with_version(clean, scd2.as_of(dim, F.lit(day))), "base_fatos")
+        """The version join is stored once and read by all four facts; none is written if it lost a row.
+
+        Of the versions only those valid on the day are joined; ``dim`` tells their columns.
+        """
+        valid = scd2.as_of(self.versions_since(dim, day), F.lit(day))
+        base, joined = measured.stored(preset.with_version(clean, valid), "base_fatos")
         counted = measured.row(self.spark, aceitas=self._figures("silver", clean, day), base=joined)
         checks.require(checks.compared(counted, [checks.adds_up("cada linha aceita acha a sua versao", "aceitas_linhas", "base_linhas")]))
         out = {}
@@ -191,6 +212,76 @@ class Warehouse:
     def _figures(self, name: str, rows: DataFrame, day: date) -> measured.Figures:
         return slices.figures(self.spark, self.path(name), day, _schema(rows), **fact_measures(name))
 
+    # ------------------------------------------------------------------ load state
+    def state(self) -> DataFrame:
+        """A row per registered load."""
+        return generations.read_latest(self.spark, self.path(STATE), STATE_SCHEMA)
+
+    def _keep_state(self, change: Callable[[DataFrame], DataFrame]) -> None:
+        """The next generation of the state, made from the one that counts."""
+        path = self.path(STATE)
+        number = generations.latest(self.spark, path)
+        old = generations.read_latest(self.spark, path, STATE_SCHEMA, number)
+        changed = change(old).select(*[F.col(f.name).cast(f.dataType) for f in STATE_SCHEMA.fields])
+        generations.write_next(changed, path, after=number)
+        generations.drop_superseded(self.spark, path, number + 1)
+
+    def plan(self, folder: str, run_id: str, request: loads.Request = loads.Request()) -> DataFrame:
+        """Decides what to do with each file of the folder, and registers the loads that are planned or refused."""
+        state = self.state()
+        done = state.where(F.col(loads.STATUS) == loads.SUCCESS) if request.day is None else None
+        planned = scratch.stored(loads.plan(self.candidates(folder, done), state, request), "plano")
+        loads.require_plan(planned, state, request)
+        self._keep_state(lambda known: loads.register(known, planned, run_id, F.current_timestamp()))
+        return planned
+
+    def _advance(self, day: date, stage: str, *, message: str | None = None, **counts: int) -> None:
+        fields = ["linhas_bronze", "linhas_silver", "linhas_quarentena"]
+        outcome = self.spark.range(1).select(
+            F.lit(day).alias(loads.DAY), F.lit(stage).alias("etapa"), F.lit(message is None).alias("ok"),
+            F.lit(message).cast("string").alias("mensagem"), *[F.lit(counts.get(c)).cast("bigint").alias(c) for c in fields],
+        )
+        touched = F.when(F.col(loads.DAY) == F.lit(day), F.current_timestamp()).otherwise(F.col("atualizado_em"))
+        self._keep_state(lambda known: loads.advance(known, outcome).withColumn("atualizado_em", touched))
+
+    def load_all(self, folder: str, run_id: str, request: loads.Request = loads.Request()) -> DataFrame:
+        """Plans, then takes the planned loads from stage to stage, oldest first; returns the run's loads with their states.
+
+        A load that fails in a stage gets that stage's error state and the message, by itself; the others of the stage go
+        on. No later stage begins then: the next run plans what is not done again.
+        """
+        planned = self.plan(folder, run_id, request).where("decisao = 'planejar'")
+        # One at a time, as each is a chain of jobs, and the versions of one build on those of the one before.
+        files = {r[loads.DAY]: r["caminho"] for r in planned.select(loads.DAY, "caminho").orderBy(loads.DAY).toLocalIterator()}
+        made: dict[date, dict[str, DataFrame]] = {day: {} for day in files}
+        for stage in loads.STAGES:
+            failed = [day for day in files if not self._stage(stage, files[day], day, run_id, made[day])]
+            if failed:
+                break
+        return self.state().where(F.col("run_id_ultimo") == run_id)
+
+    def _stage(self, stage: str, file: str, day: date, run_id: str, made: dict[str, DataFrame]) -> bool:
+        """One stage of one load, and its outcome in the load state."""
+        counted = lambda *tables: {f"linhas_{t}": slices.rows(self.spark, self.path(t), day) for t in tables}
+        counts: dict[str, int] = {}
+        try:
+            with scratch.passing(self.spark):
+                if stage == "bronze":
+                    self.bronze(file, day, run_id)
+                    counts = counted("bronze")
+                elif stage == "silver":
+                    made["silver"] = self.silver(day, run_id)
+                    counts = counted("silver", "quarentena")
+                elif stage == "gold_dimensoes":
+                    made.update(self.dimensions(made["silver"], day))
+                else:
+                    made.update(self.facts(made["silver"], made["dim_cliente"], day, run_id))
+        except Exception as fault:  # noqa: BLE001 - whatever it is, the load's state tells it
+            self._advance(day, stage, message=f"{type(fault).__name__}: {fault}"[:1000])
+            return False
+        self._advance(day, stage, **counts)
+        return True
+
     # ------------------------------------------------------------------ whole load
     def process(self, file: str, day: date, run_id: str) -> dict[str, DataFrame]:
         """All layers of one load; returns its tables by name. Intermediates are gone at the end."""

@@ -308,7 +308,7 @@ def _loaded(source: DataFrame, days: Sequence[date]) -> DataFrame:
         if number:
             current = generations.read_versions(spark, table, schema, scd2.CURRENT, number).where(scd2.CURRENT)
             moved = scd2.apply_snapshot(current, of_day(source, day).drop(DAY), F.lit(day), VERSIONS)
-        generations.write_next(moved, table, after=number, partition_by=(scd2.CURRENT,))
+        generations.write_versions(moved, table, after=number, current=scd2.CURRENT, end=scd2.TO)
     return generations.read_versions(spark, table, schema, scd2.CURRENT, len(days))
 
 
@@ -318,22 +318,25 @@ def scd2_iterated(spark, folder):
 
 
 def _corrected(clean: DataFrame) -> DataFrame:
-    """The second load sent again: some rows missing, some with another marital status."""
+    """The last load sent again: some rows missing, some with another marital status."""
     key = F.col("id_cliente")
-    again = of_day(clean, DAYS[1]).where(key % 7 != 0)
+    again = of_day(clean).where(key % 7 != 0)
     return again.withColumn("estado_civil", F.when(key % 5 == 0, "Divorciado").otherwise(F.col("estado_civil")))
 
 
 def scd2_same_day_fix(spark, folder):
-    clean = scratch.stored(silver(spark, folder, DAYS[:2]), "silver")
-    dim = _loaded(preset.version_source(clean), DAYS[:2])
+    clean = history(spark, folder)
+    dim = _loaded(preset.version_source(clean), DAYS)
     again = preset.version_source(_corrected(clean)).drop(DAY)
-    return plain(scd2.apply_snapshot(dim, again, F.lit(DAYS[1]), VERSIONS), *VERSION_COLUMNS)
+    return plain(scd2.apply_snapshot(dim, again, F.lit(LATEST), VERSIONS), *VERSION_COLUMNS)
 
 
 def scd2_as_of(spark, folder):
-    dim = versions(silver(spark, folder, DAYS))
-    return plain(scd2.as_of(dim, F.lit(DAYS[1])), *VERSION_COLUMNS)
+    """Versions valid on a day, out of a stored table whose closed versions lie in folders by their last year."""
+    dim, target = versions(silver(spark, folder, DAYS)), scratch.new_path(spark, "dim_cliente")
+    number = generations.write_versions(dim, target, after=0, current=scd2.CURRENT, end=scd2.TO)
+    stored = generations.read_versions(spark, target, dim.schema, scd2.CURRENT, number, since=DAYS[1])
+    return plain(scd2.as_of(stored, F.lit(DAYS[1])), *VERSION_COLUMNS)
 
 
 # ---------------------------------------------------------------------------- facts

@@ -107,12 +107,12 @@ def _same_day_fix() -> str:
     again = f"""
 outra as (
   select * replace (case when id_cliente % 5 = 0 then 'Divorciado' else estado_civil end as estado_civil)
-  from silver where dia = {o.day(DAYS[1])} and id_cliente % 7 <> 0)"""
+  from silver where dia = {o.day(LATEST)} and id_cliente % 7 <> 0)"""
     fixed = o.versions("outra", "refeita")
     source = "\nfonte as (select * from refeita_s)"
     return (
-        o.through("silver", DAYS[:2]) + "," + o.versions() + "," + again + "," + fixed + "," + source + ","
-        + _apply("dim", "fonte", DAYS[1], "nova") + f" select {o.VERSION_COLUMNS} from nova"
+        o.through("silver", DAYS) + "," + o.versions() + "," + again + "," + fixed + "," + source + ","
+        + _apply("dim", "fonte", LATEST, "nova") + f" select {o.VERSION_COLUMNS} from nova"
     )
 
 

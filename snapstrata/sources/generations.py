@@ -6,6 +6,8 @@ marker, which nobody reads and the next attempt overwrites.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,18 +56,34 @@ def drop_superseded(spark: SparkSession, table: str, number: int, current: str |
             break  # gone since an earlier load, and with it all before
 
 
+#: Folder of closed versions by the year they end in.
+END_YEAR = "ano_fim"
+
+
+def write_versions(df: DataFrame, table: str, *, after: int, current: str, end: str) -> int:
+    """The next generation of a versioned table: current rows, and those it closed by the year of their last day.
+
+    A row that ends on day d is of use to days up to d only, so a reader that looks back to a day leaves out the
+    folders of all years before it.
+    """
+    return write_next(df.withColumn(END_YEAR, F.year(end)), table, after=after, partition_by=(current, END_YEAR))
+
+
 def read_versions(
-    spark: SparkSession, table: str, schema: T.StructType, current: str, number: int | None = None
+    spark: SparkSession, table: str, schema: T.StructType, current: str, number: int | None = None, *, since: date | None = None
 ) -> DataFrame:
     """A versioned table whose generations hold all current rows and only the rows closed then.
 
-    Current rows come from the newest generation, closed ones from every generation up to it. Both
-    are partition filters, so closed versions are neither rewritten by a load nor read for one.
+    Current rows come from the newest generation, closed ones from every generation up to it. Both are partition
+    filters, so closed versions are neither rewritten by a load nor read for one. With ``since`` come only closed rows
+    of years not before it: enough for what is valid on that day or later.
     """
     number = latest(spark, table) if number is None else number
     if number == 0:
         return spark.createDataFrame([], schema)
-    wide = T.StructType([*schema.fields, T.StructField(GENERATION, T.IntegerType())])
+    wide = T.StructType([*schema.fields, T.StructField(GENERATION, T.IntegerType()), T.StructField(END_YEAR, T.IntegerType())])
     g = F.col(GENERATION)
     keep = (g == number) | ((g < number) & ~F.col(current))
+    if since is not None:
+        keep = keep & (F.col(current) | (F.col(END_YEAR) >= since.year))
     return spark.read.schema(wide).parquet(table).where(keep).select(*schema.fieldNames())

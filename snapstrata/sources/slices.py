@@ -98,6 +98,11 @@ def figures(spark: SparkSession, table: str, day: date, schema: T.StructType, **
     return {n: kept[n] for n in (measured.ROWS, *measures)}
 
 
+def rows(spark: SparkSession, table: str, day: date) -> int:
+    """How many rows a slice has."""
+    return figures(spark, table, day, T.StructType([]))[measured.ROWS]
+
+
 def write_slices(df: DataFrame, table: str, *, day: str = SLICE, emptied: Iterable[date] = (), **measures: Column) -> measured.Figures:
     """Replaces the slices of all days in ``day`` by one job, and those ``emptied`` by none; returns the figures of all rows.
 
