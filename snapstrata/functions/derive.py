@@ -45,3 +45,8 @@ def position(value: Column, order: Mapping[str, int], *, unknown: int = UNKNOWN_
     """Position of a label in a fixed domain, or ``unknown``. The default is the stored value of a dimension."""
     pairs = [F.lit(x) for pair in order.items() for x in pair]
     return F.coalesce(F.try_element_at(F.create_map(*pairs), value), F.lit(unknown)).cast("int")
+
+
+def order_by_domain(value: Column, labels: Sequence[str]) -> Column:
+    """Place of a label in a list, those that are not in it behind."""
+    return position(value, {label: i for i, label in enumerate(labels)}, unknown=len(labels))

@@ -1,22 +1,28 @@
-"""Data dictionary: a row per column of a set of tables, with how often it is filled."""
+"""Data dictionary: a row per column of a set of tables, with how often it is filled.
+
+Of stored Parquet tables the counts come from the files' footers; only columns without statistics are read.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Collection, Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from snapstrata.sources import scratch
 
 # Sensitivity classes.
 CONFIDENTIAL = "confidencial"
 INTERNAL = "interno"
 
 
-def table_profile(df: DataFrame, table: str) -> DataFrame:
-    """Column, type, rows and non-NULL count of one table, in one pass over it."""
-    measures = [F.count(F.col(f"`{c}`")).alias(f"_c{i}") for i, c in enumerate(df.columns)]
-    totals = df.agg(F.count(F.lit(1)).alias("_linhas"), *measures)
+def _columns(totals: DataFrame, table: str, fields: list[T.StructField]) -> DataFrame:
+    """One row of counts (`_linhas`, then `_c0`, `_c1`, ...) as a row per column."""
     rows = F.array(
         *[
             F.struct(
@@ -26,21 +32,56 @@ def table_profile(df: DataFrame, table: str) -> DataFrame:
                 F.col("_linhas").alias("linhas"),
                 F.col(f"_c{i}").alias("preenchidas"),
             )
-            for i, f in enumerate(df.schema.fields)
+            for i, f in enumerate(fields)
         ]
     )
     return totals.select(F.inline(rows))
 
 
-def dictionary(
-    tables: Mapping[str, DataFrame],
+def _counts(fields: list[T.StructField]) -> list[Column]:
+    return [F.count(F.lit(1)).alias("_linhas"), *[F.count(F.col(f"`{f.name}`")).alias(f"_c{i}") for i, f in enumerate(fields)]]
+
+
+def table_profile(df: DataFrame, table: str) -> DataFrame:
+    """Column, type, rows and non-NULL count of one table, in one pass over it."""
+    return _columns(df.agg(*_counts(df.schema.fields)), table, df.schema.fields)
+
+
+def _footer_session(spark: SparkSession) -> SparkSession:
+    """A session of the same application whose Parquet reader takes counts from footers; the given one stays as it is."""
+    beside = spark.newSession()
+    beside.conf.set("spark.sql.sources.useV1SourceList", "")
+    beside.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return beside
+
+
+def footer_profile(spark: SparkSession, tables: Mapping[str, tuple[str, T.StructType | str]]) -> DataFrame:
+    """``table_profile`` of stored Parquet tables, from name to path and schema, without reading their flat columns.
+
+    Nested columns have no count in a footer and are read, each by itself. Where files were written without statistics
+    all of the tables are read.
+    """
+    beside, parts = _footer_session(spark), []
+    for name, (path, schema) in tables.items():
+        df = beside.read.schema(schema).parquet(path)
+        nested = [f for f in df.schema.fields if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
+        flat = [f for f in df.schema.fields if f not in nested]
+        parts += [_columns(df.agg(*_counts(fields)), name, fields) for fields in (flat, *([f] for f in nested)) if fields]
+    try:
+        return scratch.stored(reduce(DataFrame.unionByName, parts), "perfil", spark)
+    except (Py4JJavaError, PySparkException):
+        read = [table_profile(spark.read.schema(schema).parquet(path), name) for name, (path, schema) in tables.items()]
+        return scratch.stored(reduce(DataFrame.unionByName, read), "perfil")
+
+
+def described(
+    profile: DataFrame,
     *,
     layers: Mapping[str, str],
     descriptions: Mapping[tuple[str, str], str],
     confidential: Collection[str],
 ) -> DataFrame:
-    """The profile of every table with layer, description ('' when there is none) and sensitivity."""
-    profile = reduce(DataFrame.unionByName, [table_profile(df, name) for name, df in tables.items()])
+    """A profile with layer, description ('' when there is none) and sensitivity."""
     texts = [x for (t, c), d in descriptions.items() for x in (F.lit(f"{t}.{c}"), F.lit(d))]
     layer_map = F.create_map(*[F.lit(x) for pair in layers.items() for x in pair])
     described = (
@@ -57,3 +98,8 @@ def dictionary(
         F.try_element_at(layer_map, F.col("tabela")).alias("camada"),
         F.when(secret, CONFIDENTIAL).otherwise(INTERNAL).alias("classificacao"),
     )
+
+
+def dictionary(tables: Mapping[str, DataFrame], **says) -> DataFrame:
+    """The profile of every table, ``described``."""
+    return described(reduce(DataFrame.unionByName, [table_profile(df, name) for name, df in tables.items()]), **says)

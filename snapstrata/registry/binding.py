@@ -324,6 +324,8 @@ def load_state(spark: SparkSession, folder: str, *, some: bool = False) -> DataF
             (F.col("linhas") * 10 - F.col("_menor") % 7).alias("linhas_silver"),
             (F.col("_menor") % 7).alias("linhas_quarentena"),
             F.concat(F.lit("run-"), (F.col("_menor") % 4).cast("string")).alias("run_id_ultimo"),
-            F.lit(None).cast("string").alias("mensagem"),
+            (F.col("linhas") * 120 + F.col("_menor") % 97).alias("tamanho_bytes"),
+            F.concat(F.date_format("data_carga", "yyyy-MM-dd"), F.format_string(" %02d:00:00", F.col("_menor") % 24)).alias("atualizado_em"),
         )
+        .withColumn("mensagem", F.when(F.col("status").startswith("ERRO"), F.concat(F.lit("falha em "), F.col("arquivo"))))
     )

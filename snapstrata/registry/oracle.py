@@ -318,12 +318,13 @@ def load_state(name: str = "estado", source: str = "entregas", some: bool = Fals
     where = f"where data_carga <= {day(binding.STATE_UNTIL)} and menor % 3 <> 0" if some else ""
     states = " ".join(f"when {i} then {quoted(s)}" for i, s in enumerate(binding.LOAD_STATES))
     return f"""
-{name} as (
+{name} as (select *, case when status like 'ERRO%' then 'falha em ' || arquivo end as mensagem from (
   select data_carga, arquivo, case menor % {len(binding.LOAD_STATES)} {states} end as status,
     cast(linhas % 5 + 1 as integer) as tentativas, impressao, linhas * 10 as linhas_bronze,
     linhas * 10 - menor % 7 as linhas_silver, menor % 7 as linhas_quarentena,
-    'run-' || (menor % 4) as run_id_ultimo, cast(null as varchar) as mensagem
-  from {source} {where})"""
+    'run-' || (menor % 4) as run_id_ultimo, linhas * 120 + menor % 97 as tamanho_bytes,
+    strftime(data_carga, '%Y-%m-%d') || printf(' %02d:00:00', menor % 24) as atualizado_em
+  from {source} {where}))"""
 
 
 def state(some: bool = False) -> str:

@@ -17,7 +17,7 @@ from snapstrata.functions import derive, keys
 from snapstrata.operators import catalog, checks, dims, loads, merge, params, quality, scd2
 from snapstrata.plans import customers as preset
 from snapstrata.plans import report
-from snapstrata.plans.dataflow import FACT_ROWS, fact_measures
+from snapstrata.plans.dataflow import FACT_ROWS, Warehouse, fact_measures
 from snapstrata.registry import binding
 from snapstrata.registry.binding import DAYS, LATEST, Defects, table
 from snapstrata.sources import generations, ingest, measured, scratch, slices
@@ -453,7 +453,7 @@ def scd_stats(spark, folder):
 
 # ---------------------------------------------------------------------------- operation report
 def loads_latest(spark, folder):
-    return plain(report.positioned(report.loads(binding.load_state(spark, folder)).drop("mensagem"), F.col("data_carga").desc()))
+    return plain(report.positioned(report.loads(binding.load_state(spark, folder)), F.col("data_carga").desc()))
 
 
 def load_totals(spark, folder):
@@ -466,12 +466,16 @@ def recent_runs(spark, folder):
     return plain(report.positioned(latest, F.col("inicio_ts").desc(), F.col("execucao_id").desc()).drop("inicio_ts"))
 
 
+#: The way a visit goes; what is not on it comes last.
+STAGE_ORDER = ["view", "click", "signup", "purchase"]
+
+
 def stage_duration(spark, folder):
     log = binding.execution_log(spark, folder)
     seconds = report.stage_duration(
         log, run="run_id", time="inicio_ts", tie="execucao_id", stage="etapa", seconds="duracao_seg"
     )
-    return plain(report.positioned(seconds, "etapa"))
+    return plain(report.positioned(seconds, derive.order_by_domain(F.col("etapa"), STAGE_ORDER), "etapa"))
 
 
 def run_succeeded(spark, folder):
@@ -506,8 +510,16 @@ def dq_totals(spark, folder):
     return report.dq_totals(of_day(results))
 
 
+#: Layers in the order data passes them, and where the given tables would lie.
+LAYER_ORDER = ["landing", "bronze", "silver", "gold"]
+STORAGE = {n: "landing" if n in ("documents", "pages", "benchmark") else "bronze" for n in binding.TABLES} | dict.fromkeys(
+    ["customer", "supplier", "part", "nation", "region"], "gold"
+) | dict.fromkeys(["orders", "lineitem"], "silver")
+
+
 def inventory(spark, folder):
-    return report.positioned(report.inventory({n: ("landing", table(spark, folder, n)) for n in binding.TABLES}), "camada", "tabela")
+    counted = report.inventory({n: (STORAGE[n], table(spark, folder, n)) for n in binding.TABLES})
+    return report.positioned(counted, derive.order_by_domain(F.col("camada"), LAYER_ORDER), "tabela")
 
 
 # Descriptions of a few columns, so that the dictionary has documented and undocumented ones.
@@ -524,8 +536,8 @@ LAYERS = {n: "texto" if n in ("documents", "pages", "benchmark", "labels", "conv
 
 
 def _dictionary(spark, folder) -> DataFrame:
-    tables = {n: table(spark, folder, n) for n in binding.TABLES}
-    return catalog.dictionary(tables, layers=LAYERS, descriptions=DESCRIBED, confidential=SENSITIVE)
+    found = catalog.footer_profile(spark, {n: (f"{folder}/{n}.parquet", schema) for n, schema in binding.SCHEMAS.items()})
+    return catalog.described(found, layers=LAYERS, descriptions=DESCRIBED, confidential=SENSITIVE)
 
 
 def profile(spark, folder):
@@ -737,6 +749,35 @@ def load_plan(spark, folder):
     return _plan(spark, folder, loads.Request())
 
 
+def load_register(spark, folder):
+    """The load state with the planned and the refused loads written in."""
+    state = binding.load_state(spark, folder, some=True).withColumns({"criado_em": F.lit("antes"), "atualizado_em": F.lit("antes")})
+    candidates = binding.deliveries(spark, folder).select("data_carga", "arquivo", "impressao")
+    planned = loads.plan(candidates, state, loads.Request())
+    return plain(loads.register(state, planned, "run-9", F.lit("agora")))
+
+
+def load_discovery(spark, folder):
+    """Files of orders, one a month, found in the folder they were delivered to, with dates, sizes and fingerprints.
+
+    The writer names its files by itself, so the finished ones are given the names of deliveries; one month is asked for
+    no more, and one file is named wrongly.
+    """
+    landing, made = scratch.new_path(spark, "entregas"), scratch.new_path(spark, "meses")
+    line = F.concat_ws(";", F.col("o_orderkey").cast("string"), F.col("o_orderstatus"))
+    orders = table(spark, folder, "orders").select(line.alias("value"), F.date_format("o_orderdate", "yyyyMM").alias("mes"))
+    orders.repartition("mes").write.partitionBy("mes").text(made)
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    files = place(made).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(place(landing))
+    for found in files.globStatus(place(f"{made}/mes=*/part-*")):
+        month = found.getPath().getParent().getName().removeprefix("mes=")
+        name = f"vendas_{month}01.csv" if month.endswith("02") else f"{'MARKETING' if month.endswith('03') else 'marketing'}_{month}01.csv"
+        files.rename(found.getPath(), place(f"{landing}/{name}"))
+    done = table(spark, folder, "orders").agg(F.trunc(F.min("o_orderdate"), "month").alias("data_carga"))
+    return plain(Warehouse(spark, landing).candidates(landing, done).drop("caminho"))
+
+
 def load_plan_redo(spark, folder):
     return _plan(spark, folder, loads.Request(day=date(1999, 3, 15), reprocess=True))
 
@@ -763,7 +804,7 @@ def load_advance(spark, folder):
         F.col("linhas").alias("linhas_silver"),
         F.lit(0).cast("bigint").alias("linhas_quarentena"),
     )
-    return plain(loads.advance(binding.load_state(spark, folder), outcomes).drop("impressao"))
+    return plain(loads.advance(binding.load_state(spark, folder), outcomes).drop("impressao", "tamanho_bytes", "atualizado_em"))
 
 
 def last_success(spark, folder):
@@ -771,7 +812,8 @@ def last_success(spark, folder):
 
 
 def loads_in_state(spark, folder):
-    return plain(loads.in_state(binding.load_state(spark, folder), "run-1", "SUCESSO").select("data_carga", "arquivo", "tentativas"))
+    waiting = loads.in_state(binding.load_state(spark, folder), "run-1", "SUCESSO").select("data_carga", "arquivo", "tentativas")
+    return plain(report.positioned(waiting, "data_carga"))
 
 
 def stage_active(spark, folder):
@@ -815,7 +857,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         error_summary, dq_latest, dq_totals, inventory, profile, dictionary_coverage,
         checks_all, orphan_keys,
         merge_insert_new, merge_upsert, merge_upsert_keep, merge_update_columns, generation_replace, slice_replace,
-        load_manifest, load_fingerprint, load_plan, load_plan_redo, load_copies, load_advance,
+        load_manifest, load_fingerprint, load_plan, load_plan_redo, load_register, load_discovery, load_copies, load_advance,
         last_success, load_plan_copies, loads_in_state, stage_active, resolve_params,
     )
 }

@@ -236,16 +236,20 @@ select {o.iso('data_carga')} as data_carga, arquivo, impressao,
 from dec"""
 
 
-def _fingerprint() -> str:
-    # The digest digit by digit, in five numbers of up to 13 hex characters.
+def _digits() -> tuple[str, str]:
+    """A digest `h` digit by digit, in five numbers of up to 13 hex characters; and their sums as text."""
+
     def number(first: int, last: int) -> str:
         return " + ".join(
             f"cast(strpos('0123456789abcdef', substr(h, {i + 1}, 1)) - 1 as decimal(38,0)) * {16 ** (last - 1 - i)}" for i in range(first, last)
         )
 
     parts = [(at, min(at + 13, 64)) for at in range(0, 64, 13)]
-    digits = ", ".join(f"{number(a, b)} as v{a}" for a, b in parts)
-    sums = " || '-' || ".join(f"cast(sum(v{a}) as varchar)" for a, _ in parts)
+    return ", ".join(f"{number(a, b)} as v{a}" for a, b in parts), " || '-' || ".join(f"cast(sum(v{a}) as varchar)" for a, _ in parts)
+
+
+def _fingerprint() -> str:
+    digits, sums = _digits()
     return f"""with {o.raw(DAYS)},
 hs as (select dia, sha256({o.text_of(preset.COLUMNS, '||')}) as h from raw),
 vs as (select dia, {digits} from hs)
@@ -269,7 +273,7 @@ def _profile() -> str:
 
 def _inventory() -> str:
     return " union all ".join(
-        f"select '{t}' as tabela, 'landing' as camada, count(*) as linhas from {t}" for t in binding.TABLES
+        f"select '{t}' as tabela, '{queries.STORAGE[t]}' as camada, count(*) as linhas from {t}" for t in binding.TABLES
     )
 
 
@@ -288,11 +292,43 @@ def _surrogate_keys() -> str:
     return f"{o.through('silver', DAYS)} {parts}"
 
 
+def _listed(column: str, labels) -> str:
+    return f"coalesce(list_position([{', '.join(map(o.quoted, labels))}], {column}), {len(labels) + 1})"
+
+
 def _domain_order(labels) -> str:
     whens = " ".join(f"when {o.quoted(x)} then {i}" for i, x in enumerate(labels))
     return f"case rotulo {whens} else {len(labels)} end, rotulo"
 
 
+def _register() -> str:
+    head, _ = _plan().split("select " + o.iso("data_carga") + " as data_carga, arquivo", 1)
+    kept = ["tamanho_bytes", "linhas_bronze", "linhas_silver", "linhas_quarentena"]
+    return head.rstrip() + f""",
+novo as (select *, tarde as recusada from dec where not pula)
+select {o.iso('coalesce(n.data_carga, e.data_carga)')} as data_carga,
+  case when n.data_carga is not null then n.arquivo else e.arquivo end as arquivo,
+  case when n.data_carga is null then e.status when n.recusada then 'ERRO_FORA_DE_ORDEM' else 'PENDENTE' end as status,
+  cast(case when n.data_carga is null then e.tentativas else n.nova end as integer) as tentativas,
+  case when n.data_carga is not null then n.impressao else e.impressao end as impressao, {', '.join('e.' + c for c in kept)},
+  case when n.data_carga is null then e.run_id_ultimo else 'run-9' end as run_id_ultimo,
+  case when n.data_carga is null then e.mensagem when n.recusada then 'Anterior a ultima carga com sucesso (' || {o.iso('n.ultima')} || ')' end as mensagem,
+  case when e.data_carga is not null then 'antes' else 'agora' end as criado_em,
+  case when n.data_carga is not null then 'agora' else 'antes' end as atualizado_em
+from estado e full outer join novo n on n.data_carga = e.data_carga"""
+
+
+def _discovery() -> str:
+    return f"""with ordens as (
+  select date_trunc('month', o_orderdate)::date as mes, o_orderkey || ';' || o_orderstatus as linha from orders),
+hs as (select mes as dia, sha256(linha) as h, linha from ordens
+  where extract(month from mes) <> 2 and mes <> (select min(mes) from ordens)),
+vs as (select dia, linha, {_digits()[0]} from hs)
+select case when extract(month from dia) = 3 then 'MARKETING_' else 'marketing_' end || strftime(dia, '%Y%m%d') || '.csv' as arquivo,
+  sum(strlen(linha) + 1)::bigint as tamanho_bytes, {o.iso('dia')} as data_carga, count(*) || '-' || {_digits()[1]} as impressao
+from vs group by dia"""
+
+
 def texts() -> dict[str, str]:
     f = o.through
     d3 = o.day(LATEST)
@@ -349,7 +385,7 @@ def texts() -> dict[str, str]:
         "age_band": f"{o.star()} select faixa_etaria as rotulo, count(*) as n, round(avg(cast(total_gasto as double)), 6) as valor from fato group by 1",
         "education_level": f"{o.star()} select escolaridade as rotulo, {_level('escolaridade')} as nivel_ordem, count(*) as n, round(avg(cast(total_gasto as double)), 6) as valor from fato group by 1, 2",
         "scd_stats": f"{f('silver', DAYS)}, {o.versions()} select count(*) as versoes, count(distinct id_cliente) as clientes, sum(case when flag_atual then 0 else 1 end)::bigint as historicas from dim",
-        "loads_latest": f"{o.state()} select {_state_columns(message=False)} from estado",
+        "loads_latest": f"{o.state()} select {_state_columns(message=True)}, tamanho_bytes, atualizado_em from estado",
         "load_totals": f"{o.state()}, u as (select * from estado where status = 'SUCESSO' order by data_carga desc limit 1) "
         "select sum(case when status = 'SUCESSO' then 1 else 0 end)::bigint as concluidas, sum(case when status like 'ERRO%' then 1 else 0 end)::bigint as com_erro, "
         "round(coalesce((select cast(linhas_quarentena as double) / linhas_bronze from u), 0), 6) as pct_quarentena from estado",
@@ -401,6 +437,8 @@ def texts() -> dict[str, str]:
         "'marketing_' || strftime(d, '%Y%m%d') || '.csv' as nome_esperado from lidos",
         "load_fingerprint": _fingerprint(),
         "load_plan": _plan(),
+        "load_register": _register(),
+        "load_discovery": _discovery(),
         "load_plan_redo": _plan(queries.date(1999, 3, 15), redo=True),
         "load_plan_copies": _plan().split("select " + o.iso("data_carga") + " as data_carga, arquivo")[0]
         + f"select {o.iso('d.data_carga')} as data_carga, {o.iso('e.data_carga')} as copia from dec d join estado e on e.impressao = d.impressao and e.data_carga <> d.data_carga where not d.pula and not d.tarde",
@@ -411,7 +449,7 @@ def texts() -> dict[str, str]:
         f"select {o.iso('data_carga')} as data_carga, arquivo, case when espera and ok then 'SILVER_OK' when espera then 'ERRO_SILVER' else status end as status, "
         "tentativas, linhas_bronze, case when espera and ok then linhas else linhas_silver end as linhas_silver, "
         "case when espera and ok then 0 else linhas_quarentena end as linhas_quarentena, run_id_ultimo, "
-        "case when espera and not ok then 'falha em ' || arq end as mensagem from j",
+        "case when espera and not ok then 'falha em ' || arq else mensagem end as mensagem from j",
         "last_success": f"{o.state()}, s as (select data_carga, row_number() over (order by data_carga desc) as n from estado where status = 'SUCESSO') "
         f"select {o.iso('max(case when n = 1 then data_carga end)')} as ultima, {o.iso('max(case when n = 2 then data_carga end)')} as anterior from s",
         "loads_in_state": f"{o.state()} select {o.iso('data_carga')} as data_carga, arquivo, tentativas from estado where run_id_ultimo = 'run-1' and status = 'SUCESSO'",
@@ -428,8 +466,9 @@ def texts() -> dict[str, str]:
         "age_band": _domain_order([*[label for _, label in preset.AGE_BANDS], preset.AGE_ABOVE, preset.NOT_GIVEN]),
         "education_level": "nivel_ordem, rotulo",
         "loads_latest": "data_carga desc",
-        "stage_duration": "etapa",
+        "stage_duration": _listed("etapa", queries.STAGE_ORDER),
         "dq_latest": "severidade, regra",
-        "inventory": "camada, tabela",
+        "inventory": _listed("camada", queries.LAYER_ORDER) + ", tabela",
+        "loads_in_state": "data_carga",
     }
     return out | {name: _placed(out[name], order) for name, order in places.items()}

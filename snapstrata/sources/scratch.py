@@ -34,8 +34,8 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/snapstrata/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str = "etapa") -> DataFrame:
-    """Writes the frame once and reads it back.
+def stored(df: DataFrame, name: str = "etapa", session: SparkSession | None = None) -> DataFrame:
+    """Writes the frame once and reads it back, into another session of the application if one is given.
 
     Used where a result feeds several others. Unlike a cache it survives executors; unlike a
     checkpoint it is columnar, so readers prune columns and filters, and Spark knows its size
@@ -45,7 +45,7 @@ def stored(df: DataFrame, name: str = "etapa") -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     _written.setdefault(spark.sparkContext.applicationId, []).append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return (session or spark).read.schema(df.schema).parquet(path)
 
 
 @contextmanager
