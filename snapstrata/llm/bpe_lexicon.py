@@ -25,7 +25,6 @@ import re
 import tempfile
 from array import array
 from collections.abc import Iterable
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,10 +36,6 @@ from snapstrata.llm.common import mapped, texts
 #: Unicode's white space, as a class of regular expressions.
 WHITE = r"\t-\r \x85\xa0" + "".join(map(chr, (0x1680, 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))) + chr(0x2000) + "-" + chr(0x200A)
 WORD = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
-#: Text of these characters only (none of them is white space but the space) splits by the next expression as the vocabulary does.
-LETTERS = "A-Za-zÀ-ÖØ-öø-ſ"
-PLAIN = re.compile(f"[ -~{LETTERS}]+")
-PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[0-9]+| ?[^ 0-9{LETTERS}]+| +")
 
 
 def compiled(words: Iterable[bytes], ids: Iterable[list[int]]) -> bytes:
@@ -184,28 +179,24 @@ def merger(path: str):
 
 
 class Codec:
-    def __init__(self, path: str, block: bytes, bound: int = 600_000):
+    def __init__(self, path: str, block: bytes):
         self.lexicon, self.library, self.bytes, self.merger = Lexicon(block), library(path), token_bytes(path), merger(path)
-        self.bound = bound
-        self.merged: dict[str, bytes] = {}  # pieces that had to be merged; the older half goes when there are too many
+        (self.line,) = self.merger.encode_ordinary("\n")
 
     def words(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of each word: from the transducer, else put together from its pieces, those being looked up or merged."""
+        """Ids of each word: from the transducer, else merged; what may hold a special token is merged by the library."""
         out = self.lexicon.found(words)
-        split = {w: PIECE.findall(w) if PLAIN.fullmatch(w) and "<|" not in w else [w] for w in words if w not in out}
-        merged = self.merged
-        new = list({p for ps in split.values() for p in ps}.difference(merged))
-        known = self.lexicon.found(new)
-        new = [p for p in new if p not in known]
-        # What may hold a special token goes to the library.
-        marked = [p for p in new if "<|" in p]
-        merged.update(zip(marked, [array("I", x.ids).tobytes() for x in self.library.encode_batch_fast(marked, add_special_tokens=False)]))
+        unseen = [w for w in words if w not in out]
+        marked = [w for w in unseen if "<|" in w]
+        out.update(zip(marked, [array("I", x.ids).tobytes() for x in self.library.encode_batch_fast(marked, add_special_tokens=False)]))
         merge = self.merger.encode_ordinary
-        merged.update([(p, array("I", merge(p)).tobytes()) for p in new if "<|" not in p])
-        for w, ps in split.items():
-            out[w] = b"".join([known[p] if p in known else merged[p] for p in ps])
-        if len(merged) > self.bound:
-            self.merged = dict(islice(merged.items(), len(merged) - self.bound // 2, None))
+        out.update([(w, array("I", merge(w)).tobytes()) for w in unseen if w.isspace()])
+        # The others by one call, a line each: they hold no line feed, and that is always a token of its own between them.
+        lined = [w for w in unseen if "<|" not in w and not w.isspace()]
+        ids = np.array(merge("\n".join([*lined, ""])) if lined else [], np.uint32)
+        ends = np.flatnonzero(ids == self.line).tolist()
+        block = ids.tobytes()
+        out.update([(w, block[4 * a + 4 : 4 * b]) for w, a, b in zip(lined, [-1, *ends], ends)])
         return out
 
     def encode(self, batch: list[str]) -> list[list[int]]:
