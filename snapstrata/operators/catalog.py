@@ -58,20 +58,25 @@ def _footer_session(spark: SparkSession) -> SparkSession:
 def footer_profile(spark: SparkSession, tables: Mapping[str, tuple[str, T.StructType | str]]) -> DataFrame:
     """``table_profile`` of stored Parquet tables, from name to path and schema, without reading their flat columns.
 
-    Nested columns have no count in a footer and are read, each by itself. Where files were written without statistics
-    all of the tables are read.
+    Nested columns are read. Where files were written without statistics all of the tables are.
     """
-    beside, parts = _footer_session(spark), []
+    beside, flat_parts, parts = _footer_session(spark), [], []
     for name, (path, schema) in tables.items():
-        df = beside.read.schema(schema).parquet(path)
+        # A footer counts an empty list as a null, so nested columns are read, by this session's own reader.
+        df, whole = beside.read.schema(schema).parquet(path), spark.read.schema(schema).parquet(path)
         nested = [f for f in df.schema.fields if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
         flat = [f for f in df.schema.fields if f not in nested]
-        parts += [_columns(df.agg(*_counts(fields)), name, fields) for fields in (flat, *([f] for f in nested)) if fields]
+        if flat:
+            flat_parts.append(_columns(df.agg(*_counts(flat)), name, flat))
+        if nested:
+            parts.append(_columns(whole.agg(*_counts(nested)), name, nested))
     try:
-        return scratch.stored(reduce(DataFrame.unionByName, parts), "perfil", spark)
+        if flat_parts:
+            parts.append(scratch.stored(reduce(DataFrame.unionByName, flat_parts), "perfil", spark))
+        return reduce(DataFrame.unionByName, parts)
     except (Py4JJavaError, PySparkException):
         read = [table_profile(spark.read.schema(schema).parquet(path), name) for name, (path, schema) in tables.items()]
-        return scratch.stored(reduce(DataFrame.unionByName, read), "perfil")
+        return reduce(DataFrame.unionByName, read)
 
 
 def described(

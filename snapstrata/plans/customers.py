@@ -127,6 +127,21 @@ DEFAULTS = {
     "dim_data_fim": "2035-12-31",
 }
 
+#: Code of a rule, its severity, what becomes of the row or field, and the text of its result.
+RULES = {
+    "R001_ID_INVALIDO": ("BLOQUEANTE", "QUARENTENA", "id_cliente nulo ou nao numerico"),
+    "R002_ID_DUPLICADO": ("BLOQUEANTE", "QUARENTENA", "id_cliente repetido na mesma carga (mantem a 1a ocorrencia)"),
+    "R003_DATA_CADASTRO_INVALIDA": ("BLOQUEANTE", "QUARENTENA", "data_cadastro nula ou fora do formato esperado"),
+    "R004_VALOR_NEGATIVO": ("BLOQUEANTE", "QUARENTENA", "gasto, contagem ou salario com valor negativo"),
+    "A001_SALARIO_AUSENTE": ("ALERTA", "SINALIZAR", "salario_anual nulo"),
+    "A002_SALARIO_OUTLIER": ("ALERTA", "SINALIZAR", "salario_anual acima do limite parametrizado"),
+    "A003_ANO_NASCIMENTO_INVALIDO": ("ALERTA", "ANONIMIZAR_CAMPO", "ano de nascimento ausente ou fora da faixa (vira NULL)"),
+    "A004_POSSIVEL_DUPLICADO": ("ALERTA", "SINALIZAR", "mesmo conteudo (exceto ID) em mais de um cliente na carga"),
+    "A005_DATA_CADASTRO_FUTURA": ("ALERTA", "SINALIZAR", "data_cadastro posterior a data da carga"),
+    "A006_DOMINIO_DESCONHECIDO": ("ALERTA", "SINALIZAR", "escolaridade/estado civil fora da lista de dominio"),
+    "A007_VALOR_NAO_NUMERICO": ("ALERTA", "SINALIZAR", "campo numerico nao convertido (virou NULL)"),
+}
+
 CONFIDENTIAL = ["id_cliente", "ano_nascimento", "salario_anual", "idade"]
 STAGE_ORDER = ["preparar", "bronze", "silver", "gold_dimensoes", "gold_fatos", "governanca", "relatorio"]
 # ------------------------------------------------------------------------------------------
@@ -179,68 +194,22 @@ def codes_to_labels(domain: dict[str, tuple[str, str]]) -> dict[str, str]:
 
 # ---------------------------------------------------------------------------- quality
 def ruleset(params: Parameters = PARAMETERS) -> list[Rule]:
-    """Eleven rules over the typed frame; limits come from the parameters, the date from the row."""
+    """The rules over the typed frame; limits come from the parameters, the date from the row."""
     day = F.col(DAY)
-    review = "SINALIZAR"
-
-    def blocking(code: str, text: str, violated: list[Column]) -> Rule:
-        return Rule(code, text, BLOCKING, "QUARENTENA", violated)
-
-    def alert(code: str, text: str, violated: list[Column], action: str = review) -> Rule:
-        return Rule(code, text, ALERT, action, violated)
-
-    birth_range = rules.in_range("ano_nascimento", params.get("ano_nascimento_min", int), F.year(day))
-    domains = {"escolaridade": list(EDUCATION_ORDER), "estado_civil": MARITAL_STATUS}
-    return [
-        blocking("R001_ID_INVALIDO", "id_cliente nulo ou nao numerico", rules.not_null("id_cliente")),
-        blocking(
-            "R002_ID_DUPLICADO",
-            "id_cliente repetido na mesma carga (mantem a 1a ocorrencia)",
-            rules.unique("id_cliente", SEQ, quality.FIRST_SEQ),
-        ),
-        blocking(
-            "R003_DATA_CADASTRO_INVALIDA",
-            "data_cadastro nula ou fora do formato esperado",
-            rules.not_null("data_cadastro"),
-        ),
-        blocking(
-            "R004_VALOR_NEGATIVO",
-            "gasto, contagem ou salario com valor negativo",
-            rules.non_negative([*SPEND, *COUNTS, "salario_anual"]),
-        ),
-        alert("A001_SALARIO_AUSENTE", "salario_anual nulo", rules.not_null("salario_anual")),
-        alert(
-            "A002_SALARIO_OUTLIER",
-            "salario_anual acima do limite parametrizado",
-            rules.max_value("salario_anual", params.get("salario_max_outlier", Decimal)),
-        ),
-        alert(
-            "A003_ANO_NASCIMENTO_INVALIDO",
-            "ano de nascimento ausente ou fora da faixa (vira NULL)",
-            birth_range,
-            "ANONIMIZAR_CAMPO",
-        ),
-        alert(
-            "A004_POSSIVEL_DUPLICADO",
-            "mesmo conteudo (exceto ID) em mais de um cliente na carga",
-            rules.unique_content(quality.COPIES),
-        ),
-        alert(
-            "A005_DATA_CADASTRO_FUTURA",
-            "data_cadastro posterior a data da carga",
-            rules.not_after("data_cadastro", day),
-        ),
-        alert(
-            "A006_DOMINIO_DESCONHECIDO",
-            "escolaridade/estado civil fora da lista de dominio",
-            rules.in_domain(domains),
-        ),
-        alert(
-            "A007_VALOR_NAO_NUMERICO",
-            "campo numerico nao convertido (virou NULL)",
-            rules.all_present([*SPEND, *COUNTS, *CAMPAIGN_FLAGS, "comprou"]),
-        ),
-    ]
+    conditions = {
+        "R001": rules.not_null("id_cliente"),
+        "R002": rules.unique("id_cliente", SEQ, quality.FIRST_SEQ),
+        "R003": rules.not_null("data_cadastro"),
+        "R004": rules.non_negative([*SPEND, *COUNTS, "salario_anual"]),
+        "A001": rules.not_null("salario_anual"),
+        "A002": rules.max_value("salario_anual", params.get("salario_max_outlier", Decimal)),
+        "A003": rules.in_range("ano_nascimento", params.get("ano_nascimento_min", int), F.year(day)),
+        "A004": rules.unique_content(quality.COPIES),
+        "A005": rules.not_after("data_cadastro", day),
+        "A006": rules.in_domain({"escolaridade": list(EDUCATION_ORDER), "estado_civil": MARITAL_STATUS}),
+        "A007": rules.all_present([*SPEND, *COUNTS, *CAMPAIGN_FLAGS, "comprou"]),
+    }
+    return [Rule(code, text, severity, action, conditions[code[:4]]) for code, (severity, action, text) in RULES.items()]
 
 
 def typed(raw: DataFrame, params: Parameters = PARAMETERS) -> DataFrame:

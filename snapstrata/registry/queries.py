@@ -141,6 +141,23 @@ def delimited_file(spark, folder):
     return plain(stored, *preset.COLUMNS, DAY, ingest.SOURCE_FILE, ingest.ROW_HASH, numbers.alias("sequencias"))
 
 
+def load_not_empty(spark, folder):
+    """Deliveries of every year of orders and of the year before the first, which is refused as it has no rows."""
+    orders = table(spark, folder, "orders").select("o_orderkey", F.year("o_orderdate").alias("ano"))
+    first, last = orders.agg(F.min("ano"), F.max("ano")).first()
+    target, fates = scratch.new_path(spark, "entregas"), []
+    slices.write_slices(orders.withColumn(DAY, F.make_date("ano", F.lit(1), F.lit(1))), target)
+    for year in range(first - 1, last + 1) if first else ():
+        rows = slices.read_slice(spark, target, date(year, 1, 1), orders.schema)
+        _, figures = measured.stored(rows, "entrega")
+        try:
+            ingest.require_rows(figures[measured.ROWS], f"entrega de {year}")
+            fates.append((year, figures[measured.ROWS], "aceita"))
+        except ingest.EmptyLoad:
+            fates.append((year, 0, "vazia"))
+    return spark.createDataFrame(fates, "ano int, linhas bigint, situacao string")
+
+
 def row_numbers(spark, folder):
     """Places of the snapshot's rows in the files of a delivery that holds them in their order."""
     path = scratch.new_path(spark, "entrega")
@@ -505,6 +522,16 @@ def dq_latest(spark, folder):
     return rounded(plain(report.positioned(latest, "severidade", "regra").drop("descricao", "avaliado_ts", "_vez", DAY)), "pct_falha")
 
 
+def dq_runs(spark, folder):
+    """Rule results of two runs kept side by side for every load; what a run writes again replaces its own rows only."""
+    results, target = scratch.stored(_rule_results(spark, folder).drop("descricao"), "resultados"), scratch.new_path(spark, "dq_resultado")
+    for run in ("run-1", "run-1", "run-2"):
+        for day in DAYS:
+            slices.append_part(of_day(results, day).withColumn("run_id", F.lit(run)), target, day, run)
+    kept = slices.read_parts(spark, target, T.StructType([*results.schema.fields, T.StructField("run_id", T.StringType())]))
+    return rounded(plain(kept), "pct_falha")
+
+
 def dq_totals(spark, folder):
     results = _rule_results(spark, folder)
     return report.dq_totals(of_day(results))
@@ -845,7 +872,7 @@ def resolve_params(spark, folder):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        customer_snapshot, contract_projection, audit_columns, delimited_file, row_numbers, row_hash, typed_customers,
+        customer_snapshot, contract_projection, audit_columns, delimited_file, load_not_empty, row_numbers, row_hash, typed_customers,
         quality_accepted, quality_quarantine, quality_summary, quality_gate, content_clones,
         first_occurrence, occurrence_number,
         calendar, calendar_kept, dim_members, dim_marital, dim_ordered, dim_static, bands, surrogate_keys,
@@ -854,7 +881,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         kpi_delta, kpi_newest_two, category_share, channel_share, campaign_rate, country_spend, mean_with_gaps, income_band,
         age_band, education_level, scd_stats,
         loads_latest, load_totals, recent_runs, stage_duration, run_succeeded, recent_errors,
-        error_summary, dq_latest, dq_totals, inventory, profile, dictionary_coverage,
+        error_summary, dq_latest, dq_runs, dq_totals, inventory, profile, dictionary_coverage,
         checks_all, orphan_keys,
         merge_insert_new, merge_upsert, merge_upsert_keep, merge_update_columns, generation_replace, slice_replace,
         load_manifest, load_fingerprint, load_plan, load_plan_redo, load_register, load_discovery, load_copies, load_advance,

@@ -396,6 +396,10 @@ def texts() -> dict[str, str]:
         "error_summary": f"with {ERRORS} select severidade, count(*) as n from erros group by 1",
         "dq_latest": f"{_summary(DAYS)} select regra, severidade, acao, total, falhas, round(falhas * 100.0 / total, 6)::double as pct_falha, "
         f"'run-' || strftime(dia, '%Y%m%d') || '-2' as run_id from res where dia = {d3}",
+        "dq_runs": f"{_summary(DAYS)} select {DIA}, regra, severidade, acao, total, falhas, round(falhas * 100.0 / total, 6)::double as pct_falha, run_id "
+        "from res, (values ('run-1'), ('run-2')) runs(run_id)",
+        "load_not_empty": "with o as (select cast(extract(year from o_orderdate) as integer) as ano from orders) select ano, count(*) as linhas, 'aceita' as situacao from o group by 1 "
+        "union all select min(ano) - 1, 0, 'vazia' from o",
         "dq_totals": f"{_summary(DAYS)} select sum(case when severidade = 'BLOQUEANTE' then falhas else 0 end)::bigint as bloqueios, "
         "sum(case when severidade = 'ALERTA' and falhas > 0 then 1 else 0 end)::bigint as alertas_disparados, "
         f"sum(case when severidade = 'ALERTA' then 1 else 0 end)::bigint as alertas from res where dia = {d3}",
