@@ -5,12 +5,15 @@ minimum-covariance-determinant estimate of its group gives the centre and scatte
 three quarters, and a text is rejected when its Mahalanobis distance from them is beyond `limit`.
 
 The estimate runs as concentration steps over all rows: distances under the present estimate, their quantile
-in each group, then mean and scatter of the rows below it. Each step is two aggregations that combine before
-they shuffle, so a group with a third of all rows costs a few rows in the shuffle. Estimates are one row a
-group, stored between steps; texts are read once, later steps read the small table of vectors.
-
-Edge cases: null language or source is a group of its own; groups under `least` rows are pooled by language,
-then overall, and a pool still too small for an estimate rejects nothing; null and empty texts fail the base
+in each group, then mean and scatter of the rows below it. It starts from `STARTS` places at once (medians with the
+distance of the quartiles, and moments of the rows whose hash falls in one of the others' shares), goes on from each
+until the determinant of its scatter falls no more, or `steps` times, and keeps in each group the least determinant.
+Each step is two aggregations that combine before they shuffle, so a group with a third of all rows costs a few rows
+in the shuffle. Cuts and estimates are a row for each group and start, stored, so that Spark knows that they are small
+and joins them without dealing out the vectors; texts are read once, later steps read the small table of vectors.
+
+Edge cases: null language or source is a group of its own; groups under `least` rows (an estimate of 8 dimensions needs
+some) are pooled by language, then overall, and a pool still too small for an estimate rejects nothing; null and empty texts fail the base
 rule on length; repeated rows all count; directions of less spread than `LEAST` get that instead of a singular scatter;
 empty tables give no rows; `judged` ignores further columns, `kept` returns them.
 """
@@ -18,6 +21,7 @@ empty tables give no rows; `judged` ignores further columns, `kept` returns them
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from statistics import NormalDist
 
 import numpy as np
@@ -33,6 +37,8 @@ LEAST = {"length": 0.25, "word_length": 0.05, "symbols": 0.04, "dup_lines": 0.1,
 #: Added to every spread only to keep the arithmetic sound, far below what counts.
 FLOORS = dict.fromkeys(LEAST, 0.001)
 P = len(LEAST)
+#: Places that the concentration starts from, and the fall of the log determinant that counts as one.
+STARTS, FALL = 3, 1e-3
 
 
 def features() -> list[Column]:
@@ -76,15 +82,16 @@ def _distance(z: Column, centre: Column, inverse: Column) -> Column:
 
 
 def _estimates(moments: DataFrame, share: float) -> DataFrame:
-    """Centre and inverse scatter by group, from n, sums and sums of products of its regular rows."""
+    """Centre, inverse scatter and log determinant by group (and start), from n, sums and sums of products of its regular rows."""
     upper = np.triu_indices(P)
     floor = np.diag(np.square(list(FLOORS.values())))
     least = np.array(list(LEAST.values()))
+    keys = [x for x in ("pool", "start") if x in moments.columns]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
-            for key, n, sums, products in zip(frame["pool"], frame["n"], frame["sums"], frame["products"]):
+            for *key, n, sums, products in zip(*(frame[k] for k in keys), frame["n"], frame["sums"], frame["products"]):
                 if n < 4 * P:
                     continue
                 mean = np.asarray(sums, float) / n
@@ -95,10 +102,20 @@ def _estimates(moments: DataFrame, share: float) -> DataFrame:
                 # In units of the least spreads, no direction has a variance under 1.
                 values, axes = np.linalg.eigh(scatter / np.outer(least, least))
                 scatter = (axes * np.maximum(values, 1)) @ axes.T * np.outer(least, least)
-                out.append((key, mean.tolist(), np.linalg.inv(scatter).ravel().tolist()))
-            yield pd.DataFrame(out, columns=["pool", "centre", "inverse"])
+                out.append((*key, mean.tolist(), np.linalg.inv(scatter).ravel().tolist(), float(np.linalg.slogdet(scatter)[1])))
+            yield pd.DataFrame(out, columns=[*keys, "centre", "inverse", "determinant"])
+
+    kinds = {"pool": "string", "start": "int"}
+    return moments.mapInPandas(run, ", ".join(f"{k} {kinds[k]}" for k in keys) + ", centre array<double>, inverse array<double>, determinant double")
 
-    return moments.mapInPandas(run, "pool string, centre array<double>, inverse array<double>")
+
+def _moments(rows: DataFrame) -> DataFrame:
+    z = F.col("z")
+    return rows.groupBy("pool", "start").agg(
+        F.count("*").alias("n"),
+        F.array(*(F.sum(z[i]) for i in range(P))).alias("sums"),
+        F.array(*(F.sum(z[i] * z[j]) for i in range(P) for j in range(i, P))).alias("products"),
+    )
 
 
 def _vectors(docs: DataFrame, *more: str) -> DataFrame:
@@ -117,28 +134,32 @@ def _fitted(rows: DataFrame, share: float, steps: int, least: int) -> tuple[Data
     small = sizes.where(~c("own")).groupBy("lang_key").agg(F.sum("n").alias("by_lang"))
     pool = F.when(c("own"), F.to_json(F.array("lang_key", "source_key"))).when(c("by_lang") >= least, F.to_json(F.array("lang_key"))).otherwise("[]")
     pools = stored(sizes.join(small, "lang_key", "left").select("lang_key", "source_key", pool.alias("pool")), "pools")
-    vectors = rows.join(pools, ["lang_key", "source_key"])
+    vectors = rows.join(pools, ["lang_key", "source_key"]).select("pool", "z")
 
-    # Start: medians, and the distance of the quartiles as spread, each feature by itself.
+    # One start: medians, and the distance of the quartiles as spread, each feature by itself.
     middle = vectors.groupBy("pool").agg(*(F.percentile_approx(c("z")[i], [0.25, 0.5, 0.75], 1000).alias(f"q{i}") for i in range(P)))
     diagonal = [1 / F.greatest((c(f"q{i}")[2] - c(f"q{i}")[0]) / 1.35, F.lit(v)) ** 2 for i, v in enumerate(LEAST.values())]
-    estimates = stored(
-        middle.select(
-            "pool", F.array(*(c(f"q{i}")[1] for i in range(P))).alias("centre"),
-            F.array(*(diagonal[i] if i == j else F.lit(0.0) for i in range(P) for j in range(P))).alias("inverse"),
-        ),
-        "estimates",
+    medians = middle.select(
+        "pool", F.lit(0).alias("start"), F.array(*(c(f"q{i}")[1] for i in range(P))).alias("centre"),
+        F.array(*(diagonal[i] if i == j else F.lit(0.0) for i in range(P) for j in range(P))).alias("inverse"),
+        F.lit(float("inf")).alias("determinant"),
     )
+    # The others: a share of the rows each. What they estimate is not yet that of regular rows, so any determinant is a fall.
+    parts = vectors.withColumn("start", (1 + F.pmod(F.xxhash64("z"), F.lit(STARTS - 1))).cast("int"))
+    shares = _estimates(_moments(parts), share).withColumn("determinant", F.lit(float("inf")))
+    moving, ended = stored(medians.unionByName(shares), "estimates"), []
     for _ in range(steps):
-        measured = vectors.join(estimates, "pool").select("pool", "z", _distance(c("z"), c("centre"), c("inverse")).alias("d"))
-        cuts = measured.groupBy("pool").agg(F.percentile_approx("d", share, 1000).alias("cut"))
-        regular = measured.join(cuts, "pool").where("d <= cut")
-        moments = regular.groupBy("pool").agg(
-            F.count("*").alias("n"),
-            F.array(*(F.sum(c("z")[i]) for i in range(P))).alias("sums"),
-            F.array(*(F.sum(c("z")[i] * c("z")[j]) for i in range(P) for j in range(i, P))).alias("products"),
-        )
-        estimates = stored(_estimates(moments, share), "estimates")
+        measured = vectors.join(moving, "pool").select("pool", "start", "z", _distance(c("z"), c("centre"), c("inverse")).alias("d"))
+        cuts = stored(measured.groupBy("pool", "start").agg(F.percentile_approx("d", share, 1000).alias("cut")), "cuts")
+        regular = measured.join(cuts, ["pool", "start"]).where("d <= cut")
+        before = moving.select("pool", "start", c("determinant").alias("before"))
+        moved = stored(_estimates(_moments(regular), share).join(before, ["pool", "start"]), "estimates")
+        ended.append(moved.drop("before"))
+        moving = moved.where(c("determinant") < c("before") - FALL).drop("before")
+        if moving.isEmpty():
+            break
+    least_of = F.min_by(F.struct("centre", "inverse"), F.struct("determinant", "start"))
+    estimates = stored(reduce(DataFrame.unionByName, ended).groupBy("pool").agg(least_of.alias("e")).select("pool", "e.*"), "estimates")
     return pools, estimates
 
 
@@ -149,7 +170,7 @@ def _verdicts(rows: DataFrame, pools: DataFrame, estimates: DataFrame, limit: fl
     return judged.withColumn("kept", ~c("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= limit))
 
 
-def judged(docs: DataFrame, share: float = 0.75, steps: int = 4, least: int = 100, limit: float = LIMIT) -> DataFrame:
+def judged(docs: DataFrame, share: float = 0.75, steps: int = 12, least: int = 100, limit: float = LIMIT) -> DataFrame:
     """doc_id, the counts, base_failed, kept and distance (null without an estimate).
 
     `share` of a group's rows count as regular; `limit` is the distance in standard deviations.
@@ -160,7 +181,7 @@ def judged(docs: DataFrame, share: float = 0.75, steps: int = 4, least: int = 10
     )
 
 
-def kept(docs: DataFrame, share: float = 0.75, steps: int = 4, least: int = 100, limit: float = LIMIT) -> DataFrame:
+def kept(docs: DataFrame, share: float = 0.75, steps: int = 12, least: int = 100, limit: float = LIMIT) -> DataFrame:
     """The documents that are kept, with all their columns. Texts are read again instead of being shuffled or stored."""
     frame, back = set_aside(docs, "doc_id", "text", "lang", "source")
     small = frame.select("doc_id", "text", "lang", "source")
