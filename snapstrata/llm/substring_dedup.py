@@ -154,7 +154,8 @@ def repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, crowd: int = 20
     )
     found = stored(searched.unionByName(crowded), "found")
 
-    verdicts = contents.select(*key, c("doc_id").alias("first_doc")).join(found, key, "left")
+    # Stored for the same reason: the marks of one stretch may be a third of all, and are split in the join below.
+    verdicts = stored(contents.select(*key, c("doc_id").alias("first_doc")).join(found, key, "left"), "verdicts")
     everything = F.expr("shiftleft(1L, cast(number as int)) - 1")
     return (
         marks.join(verdicts, key)
