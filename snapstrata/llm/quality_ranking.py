@@ -5,9 +5,10 @@ statistics, and the chance of a preference is the logistic function of the diffe
 logistic loss on feature differences. The threshold is the quantile of the strengths that leaves as large a
 share of the labelled documents below it as is labelled 0; it is mapped to a score of `threshold`.
 
-Fitting uses at most `most` documents of each label, taken by hash of their id, and `pairs` pairs of them:
-that bounds what the driver holds. Every document is scored, each by itself, without a shuffle. Inputs are the
-text statistics alone.
+Labels are met with the documents first, by id alone. Fitting uses at most `most` documents of each label that are
+there, taken by hash of their id, and `pairs` pairs of them: that bounds what the driver holds. The threshold is
+taken from the strengths of all labelled documents, by one more pass over the texts whose result, an id and a number,
+meets the labels. Every document is scored, each by itself, without a shuffle. Inputs are the text statistics alone.
 
 Edge cases: null and empty texts get the score of a text without words; labels that repeat a document count
 once, the higher label winning; null labels and labels without a document are left out; without documents of both labels every
@@ -37,11 +38,15 @@ class Model:
     cut: float  # the strength at the threshold
 
     def score(self, threshold: float) -> Column:
-        terms = [F.lit(w) * x for w, x in zip(self.weights, features())]
-        logit = sum(terms[1:], terms[0]) - self.cut + float(np.log(threshold / (1 - threshold)))
+        logit = strength(self.weights) - self.cut + float(np.log(threshold / (1 - threshold)))
         return 1 / (1 + F.exp(-logit))
 
 
+def strength(weights: tuple[float, ...]) -> Column:
+    terms = [F.lit(w) * x for w, x in zip(weights, features())]
+    return sum(terms[1:], terms[0])
+
+
 def held_out() -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 0
 
@@ -61,31 +66,32 @@ def bradley_terry(better: np.ndarray, worse: np.ndarray, pairs: int, ridge: floa
 
 
 def fitted(docs: DataFrame, labels: DataFrame, most: int = 4000, pairs: int = 40_000) -> Model:
-    marks = (
+    there = docs.select("doc_id").distinct()
+    marks = stored(
         labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
-        .groupBy("doc_id").agg((F.max("quality") > 0).alias("good"))
+        .groupBy("doc_id").agg((F.max("quality") > 0).alias("good")).join(there, "doc_id", "left_semi"),
+        "labelled",
     )
     counts = {r["good"]: r["count"] for r in marks.groupBy("good").count().collect()}
-    none = Model((0.0,) * len(SPREADS), float(np.log(0.3 / 0.7)))
     if len(counts) < 2:
-        return none
+        return Model((0.0,) * len(SPREADS), float(np.log(0.3 / 0.7)))
     order = [F.xxhash64("doc_id"), "doc_id"]
     picked = marks.where("good").orderBy(*order).limit(most).unionByName(marks.where("not good").orderBy(*order).limit(most))
     # At most 2 * most ids.
     chosen = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id"])
     rows = statistics(chosen, "good").select("good", F.array(*features()).alias("z")).collect()
-    good = np.array([r["z"] for r in rows if r["good"]]).reshape(-1, len(SPREADS))
-    bad = np.array([r["z"] for r in rows if not r["good"]]).reshape(-1, len(SPREADS))
-    if not len(good) or not len(bad):
-        return none
+    good, bad = (np.array([r["z"] for r in rows if r["good"] == k]).reshape(-1, len(SPREADS)) for k in (True, False))
     spread = np.vstack([good, bad]).std(axis=0) + np.array(SPREADS)
-    w = bradley_terry(good / spread, bad / spread, pairs) / spread
-    strength = np.concatenate([bad @ w, good @ w])
-    weight = np.concatenate([np.full(len(bad), counts[False] / len(bad)), np.full(len(good), counts[True] / len(good))])
-    by = np.argsort(strength, kind="stable")
-    strength, below = strength[by], np.cumsum(weight[by])
-    k = min(int(np.searchsorted(below, counts[False] * (1 - 1e-9))), len(strength) - 2)
-    return Model(tuple(map(float, w)), float((strength[k] + strength[k + 1]) / 2))
+    weights = tuple(map(float, bradley_terry(good / spread, bad / spread, pairs) / spread))
+    strengths = statistics(docs.select("doc_id", "text")).select("doc_id", strength(weights).alias("s")).join(marks, "doc_id")
+    return Model(weights, cut_at(stored(strengths.groupBy("doc_id").agg(F.min("s").alias("s")), "strengths"), counts[False] / sum(counts.values())))
+
+
+def cut_at(strengths: DataFrame, share: float) -> float:
+    """Half way between the strength `s` that has `share` of all rows up to it and the next one (which may be none)."""
+    low = strengths.agg(F.percentile_approx("s", share, 10_000)).first()[0]
+    following = strengths.where(F.col("s") > low).agg(F.min("s")).first()[0]
+    return (low + following) / 2 if following is not None else low
 
 
 def scored(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
