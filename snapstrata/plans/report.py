@@ -85,7 +85,10 @@ def newest_two(state: DataFrame) -> DataFrame:
 
 
 def kpi(snapshot: DataFrame) -> DataFrame:
-    """Customers, spend and five means per load."""
+    """Customers, spend and five means per load.
+
+    Means come from exact sums: added up as doubles they would depend, in their last digits, on the order of the rows.
+    """
     means = {
         "ticket": "total_gasto",
         "conversao": "comprou",
@@ -96,7 +99,7 @@ def kpi(snapshot: DataFrame) -> DataFrame:
     return snapshot.groupBy("sk_data_carga").agg(
         F.count(F.lit(1)).alias("clientes"),
         F.sum("total_gasto").alias("gasto"),
-        *[F.avg(F.col(c).cast("double")).alias(name) for name, c in means.items()],
+        *[F.try_divide(F.sum(c).cast("double"), F.count(c)).alias(name) for name, c in means.items()],
     )
 
 

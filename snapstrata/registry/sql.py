@@ -123,8 +123,8 @@ def _domain(domain, value: str, label: str, kind: str) -> str:
 KPI = """
 kpi as (
   select cast(strftime(dia, '%Y%m%d') as integer) as sk_data_carga, count(*) as clientes, sum(total_gasto) as gasto,
-    avg(cast(total_gasto as double)) as ticket, avg(cast(comprou as integer)) as conversao,
-    avg(qtd_campanhas_aceitas) as campanhas, avg(cast(salario_anual as double)) as salario, avg(idade) as idade
+    cast(sum(total_gasto) as double) / count(total_gasto) as ticket, avg(cast(comprou as integer)) as conversao,
+    avg(qtd_campanhas_aceitas) as campanhas, cast(sum(salario_anual) as double) / count(salario_anual) as salario, avg(idade) as idade
   from fato group by dia)"""
 
 FACT_COLUMNS = f"""id_cliente, {o.ymd('dia')} as sk_data_carga, {o.ymd('data_cadastro')} as sk_data_cadastro, idade, faixa_etaria,
