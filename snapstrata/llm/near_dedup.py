@@ -14,8 +14,8 @@ Equal texts are one node, so copies cost one row each. In a bucket of up to `SMA
 larger one each is first compared with the most central node, whose bands most others have. Where that leaves more than
 one class, every pair of different classes is compared: nodes outside the bucket's largest class meet all nodes of the
 bucket in cells of two blocks, which hold at most about `BLOCK` of each. A cell verifies its pairs itself and returns
-one link for two classes, so neither rows nor links grow by the pairs, though the comparisons of a bucket of many
-classes do. Pairs that share several bands are compared in the first of these; those whose sets of shingles are too
+one link for two classes, so links don't grow by the pairs. Comparisons do in a bucket of many classes, and so, by one
+for every `BLOCK` of its nodes, do the copies of a node with its text. Pairs that share several bands are compared in the first of these; those whose sets of shingles are too
 different to be alike are told by a count. So no candidate is dropped for the size of its bucket: what is missed is
 missed by all bands, a pair at similarity 0.8 about once in 4,600 ((1 - 0.8^4)^16). Classes are the connected
 components of the links found.
