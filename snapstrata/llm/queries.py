@@ -144,6 +144,23 @@ fits AS (
 SELECT page_id, host, path, CASE WHEN listed = 'True' THEN text END AS rule, coalesce(action, 'allow') AS verdict,
        CASE WHEN listed = 'False' THEN text END AS pattern
 FROM pages_ LEFT JOIN (SELECT * FROM fits WHERE place = 1) USING (row)""",
+    # Every window as a hash; a word goes if the last repeated window that starts at or before it reaches it.
+    "op10_substring_dedup": r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS (
+  SELECT row, doc_id, place, sha256(array_to_string(words[place:place + 49], ' ')) AS hash
+  FROM (SELECT *, unnest(range(1, len(words) - 48)) AS place FROM docs)),
+firsts AS (SELECT hash, min(doc_id) AS first_doc FROM windows GROUP BY hash),
+repeated AS (SELECT row, place FROM windows JOIN firsts USING (hash) WHERE first_doc < doc_id),
+placed AS (SELECT row, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM docs),
+judged AS (
+  SELECT p.row, p.place, p.word, coalesce(p.place - max(r.place) OVER (PARTITION BY p.row ORDER BY p.place) < 50, false) AS gone
+  FROM placed p LEFT JOIN repeated r ON r.row = p.row AND r.place = p.place),
+kept AS (
+  SELECT row, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY place) FILTER (NOT gone) AS text FROM judged GROUP BY row)
+SELECT doc_id, len(words) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (row)""",
     # Leaves up to the roots by levels; then each document's proof and its fold, by levels again.
     "op11_merkle_manifest": r"""
 WITH RECURSIVE fields AS (
