@@ -5,6 +5,8 @@ Searches run for many patterns in step, as array operations.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 
 
@@ -84,14 +86,14 @@ class FmIndex:
 
     @staticmethod
     def _sorted(text: np.ndarray, longest: int) -> np.ndarray:
-        """Suffixes by their first `longest` symbols, by doubling."""
+        """Suffixes by their first `longest` symbols, by doubling; equal ones in any order, which no range of a shorter pattern sees."""
         rank, length = text, 1
-        order = np.argsort(rank, kind="stable")
+        order = np.argsort(rank)
         while length < longest:
             after = np.zeros(len(text), np.int64)
             after[:-length] = rank[length:] + 1
             key = rank * (int(after.max(initial=0)) + 1) + after
-            order = np.argsort(key, kind="stable")
+            order = np.argsort(key)
             key = key[order]
             rank = np.empty(len(text), np.int64)
             rank[order] = np.concatenate([[0], np.cumsum(key[1:] != key[:-1])])
@@ -107,18 +109,38 @@ class FmIndex:
         """Matching statistics to the left: for each place `at` of `text`, the leftmost start, not before `stop`, from which
         the words up to `at` occur in a sequence whose owner is less than `below`; `at + 1` if not even one word does."""
         out = at + 1
+
+        def then(which: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, ...]:
+            out[which] = left
+            return np.zeros(len(which), bool), left, left
+
+        self.search(text, at, stop, below, then)
+        return out
+
+    def search(
+        self, text: np.ndarray, at: np.ndarray, stop: np.ndarray, below: np.ndarray,
+        then: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]],
+    ) -> None:
+        """Searches as `matched_from`, each going on by itself: `then(which, left)` is told how far the searches `which` came,
+        and returns which of them search again, from where, and their stops."""
         live = np.arange(len(at))
-        symbols = text[at]
-        lo, hi = self.first[symbols], self.first[symbols + 1]
-        place = at.copy()
-        while True:
-            on = np.flatnonzero(hi > lo)
-            on = on[self.owner.of(lo[on], hi[on]) < below[live[on]]]
-            live, lo, hi = live[on], lo[on], hi[on]
-            out[live] = place[live]
-            go = place[live] > stop[live]
-            live, lo, hi = live[go], lo[go], hi[go]
-            if not len(live):
-                return out
-            place[live] -= 1
-            lo, hi = self.extended(text[place[live]], lo, hi)
+        place, stop = at.copy(), stop.copy()
+        lo, hi = self.first[text[place]], self.first[text[place] + 1]
+        while len(live):
+            on = hi > lo
+            on[on] = self.owner.of(lo[on], hi[on]) < below[live[on]]
+            ended = np.flatnonzero(~on | (place <= stop))
+            go = on & (place > stop)
+            if len(ended):
+                again, place_, stop_ = then(live[ended], np.where(on[ended], place[ended], place[ended] + 1))
+                new = ended[again]
+                place[new], stop[new] = place_[again], stop_[again]
+                symbols = text[place[new]]
+                lo[new], hi[new] = self.first[symbols], self.first[symbols + 1]
+                if not again.all():
+                    on = np.ones(len(live), bool)
+                    on[ended[~again]] = False
+                    live, place, stop, lo, hi, go = (x[on] for x in (live, place, stop, lo, hi, go))
+            go = np.flatnonzero(go)
+            place[go] -= 1
+            lo[go], hi[go] = self.extended(text[place[go]], lo[go], hi[go])

@@ -6,9 +6,10 @@ such hash go to one shard. Hashes that only one document has are dropped, and eq
 smallest document that has them. So shards hold little of the corpus, however often a passage occurs.
 
 In a shard, the stretches are put in an FM-index (Burrows-Wheeler transform in a wavelet matrix) and streamed through
-it: backward search from each end gives matching statistics, the longest part before it that occurs in a smaller
-document, and every window within it counts as repeated. A document larger than the first one with a stretch has all
-of the stretch's windows repeated.
+it: backward search from an end gives matching statistics, the longest part before it that occurs in a smaller
+document. Every window within it counts as repeated; where it is shorter than a window, every window that holds it and
+the word before it does not. A document larger than the first one with a stretch has all of the stretch's windows
+repeated. A hash whose different stretches all belong to one document is not searched: its windows are nowhere else.
 
 A hash with more than `crowd` different stretches (a passage with many surroundings) would make a shard too large; its
 stretches are taken apart into windows, each a row of its hash, and grouped by that instead.
@@ -25,7 +26,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -66,30 +69,51 @@ def _marks(docs: DataFrame, span: int, gram: int) -> DataFrame:
     return batches(docs, rows, "least long, whole long, doc_id long, row long, first int, number short")
 
 
+def settled(fm: FmIndex, coded: list[np.ndarray], owners: np.ndarray, group: np.ndarray, span: int) -> np.ndarray:
+    """Bits of the windows of each sequence that one of a smaller owner has. Equal windows lie in sequences of one group.
+
+    A sequence's windows that are not settled follow each other, from `low` to `high`. They are searched by turns from the
+    end of the last one, where a long match settles all windows within it, and from the end of the first one, which all
+    of them hold: where that match ends too soon, all windows that reach further to the left are settled at once.
+    """
+    text = np.concatenate(coded)
+    lengths = np.fromiter(map(len, coded), np.int64, len(coded))
+    begin = np.cumsum(lengths) - lengths
+    windows = np.zeros(len(coded), np.int64)
+    least = np.full(group.max(initial=-1) + 1, len(coded))
+    np.minimum.at(least, group, owners)
+    searched = np.flatnonzero(owners > least[group])
+    origin = begin[searched]
+    low, high = origin.copy(), origin + lengths[searched] - span
+    from_first, pays = (np.ones(len(searched), bool) for _ in range(2))  # this turn; whether the next such turn may settle many
+
+    def then(which: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        first, a, b = from_first[which], low[which], high[which]
+        window = np.where(first, a, b)
+        hit = left <= window
+        bits = (np.int64(2) << (window - origin[which])) - (np.int64(1) << (left - origin[which]))
+        windows[searched[which]] |= np.where(hit, bits, 0)
+        low[which] = a = np.where(first, np.maximum(left, a + 1), a)
+        high[which] = b = np.where(first, b, np.minimum(left, b) - 1)
+        half = window + span - left >= span // 2
+        pays[which] = np.where(first, ~hit, pays[which] | hit | half)
+        from_first[which] = ~first & pays[which]
+        return a <= b, np.where(from_first[which], a, b) + span - 1, a
+
+    at = low + span - 1
+    fm.search(text, at, low, owners[searched], then)
+    return windows
+
+
 def _searched(segments: DataFrame, span: int, gram: int, shards: int) -> DataFrame:
     """least, whole, number, windows: bits of the windows of each stretch that a smaller document has."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         split = [x.split(" ") for x in frame["words"]]  # as they were joined: other white space of Unicode is part of a word
-        index: dict[str, int] = {}
-        coded = [np.fromiter((index.setdefault(w, len(index) + 1) for w in ws), np.int64, len(ws)) for ws in split]
+        index = defaultdict(count(1).__next__)
+        coded = [np.fromiter(map(index.__getitem__, ws), np.int64, len(ws)) for ws in split]
         owners = pd.factorize(frame["doc_id"], sort=True)[0]
-        fm = FmIndex(coded, owners, 2 * span)
-        text = np.concatenate(coded)
-        lengths = np.fromiter(map(len, coded), np.int64, len(coded))
-        begin = np.cumsum(lengths) - lengths
-        windows = np.zeros(len(coded), np.int64)
-        live, end = np.arange(len(coded)), begin + lengths - 1  # the last word of the last window not settled yet
-        while len(live):
-            left = fm.matched_from(text, end, begin[live], owners[live])
-            long = end - left + 1 >= span
-            low, high = left - begin[live], end - span + 1 - begin[live]
-            bits = np.where(long, (np.int64(2) << high) - (np.int64(1) << low), 0)
-            windows[live] |= bits
-            # Windows that start later are settled; if too little matched, only the one that ends here is.
-            end = np.where(long, left - 1 + span - 1, end - 1)
-            go = end - span + 1 >= begin[live]
-            live, end = live[go], end[go]
+        windows = settled(FmIndex(coded, owners, 2 * span), coded, owners, pd.factorize(frame["least"])[0], span)
         hit = windows != 0
         return pd.DataFrame({"least": frame["least"][hit], "whole": frame["whole"][hit], "number": frame["number"][hit], "windows": windows[hit]})
 
@@ -109,11 +133,16 @@ def repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, crowd: int = 20
     contents = stored(
         marks.groupBy(*key).agg(F.min(F.struct("doc_id", "row", "first")).alias("at")).select(*key, "at.*"), "contents"
     )
-    crowds = contents.groupBy("least").agg(F.count("*").alias("n")).where(c("n") > crowd).select("least", F.lit(True).alias("crowded"))
+    # A hash whose different stretches all belong to one document has nothing to search. Stored, for the same reason.
+    sought = stored(
+        contents.groupBy("least").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count("*").alias("n")).where("a < b")
+        .select("least", (c("n") > crowd).alias("crowded")),
+        "sought",
+    )
     owners = (
-        contents.join(crowds, "least", "left")
+        contents.join(sought, "least")
         .groupBy("doc_id", "row")
-        .agg(F.collect_list(F.struct(*key, "first", F.coalesce("crowded", F.lit(False)).alias("crowded"))).alias("pieces"))
+        .agg(F.collect_list(F.struct(*key, "first", "crowded")).alias("pieces"))
     )
 
     def rows(batch: dict, hashes: Hashes) -> dict:

@@ -491,3 +491,59 @@ def test_cut_keeps_white_space(spark):
     docs = frame(spark, [(1, passage), (2, f"  my\nown {passage}\n\nend "), (3, None)])
     got = {r["doc_id"]: r["text"] for r in substring_dedup.cut(docs).collect()}
     assert got == {1: passage, 2: "  my\nown end ", 3: ""}
+
+
+def settled(sequences, owners, group, span):
+    index = fm_index.FmIndex(sequences, owners, 2 * max(map(len, sequences)))
+    steps = []
+    plain = index.extended
+    index.extended = lambda symbols, lo, hi: steps.append(len(symbols)) or plain(symbols, lo, hi)
+    return substring_dedup.settled(index, sequences, owners, group, span).tolist(), sum(steps)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_windows_are_settled_as_by_brute_force(seed):
+    """Sequences that share parts of any length, with few or many different words, in groups of their own words."""
+    rng = np.random.default_rng(seed)
+    span, sequences, group = 8, [], []
+    for g in range(12):
+        passages = [rng.integers(1, (3, 4, 1000)[g % 3], 60) for _ in range(3)]
+        for _ in range(rng.integers(1, 12)):
+            parts = []
+            for _ in range(rng.integers(1, 5)):
+                p, a = passages[rng.integers(3)], rng.integers(0, 40)
+                parts += [p[a : a + rng.integers(1, 20)], rng.integers(1, 1000, rng.integers(0, 3))]
+            sequence = np.concatenate(parts)[: span + 40] + 1000 * g
+            if len(sequence) >= span:
+                sequences.append(sequence)
+                group.append(g)
+    owners = rng.integers(0, 9, len(sequences))
+    first = {}
+    for x, owner in zip(sequences, owners):
+        for k in range(len(x) - span + 1):
+            first[w] = min(first.get(w := tuple(x[k : k + span]), owner), owner)
+    expected = [sum(1 << k for k in range(len(x) - span + 1) if first[tuple(x[k : k + span])] < o) for x, o in zip(sequences, owners)]
+    assert settled(sequences, owners, np.array(group), span)[0] == expected
+    assert any(expected) and not all(expected)
+
+
+def test_shared_phrase_is_settled_by_few_searches():
+    """The windows of a sequence hold some of the phrase it shares with smaller owners; a search from the end of each of the 41
+    windows, to its full length, would take 245 steps a sequence."""
+    phrase = np.arange(1, 30)
+    sequences = [np.concatenate([1000 * n + np.arange(30), phrase, 1000 * n + np.arange(100, 131)]) for n in range(1, 21)]
+    got, steps = settled(sequences, np.arange(20), np.zeros(20, int), 50)
+    assert got == [0] * 20 and steps <= 60 * 20
+
+
+def test_hashes_of_one_owner_are_not_searched(spark, monkeypatch):
+    """Copies need no index; a passage that two documents have in other surroundings does."""
+    kept = {}
+    plain = substring_dedup.stored
+    monkeypatch.setattr(substring_dedup, "stored", lambda df, name: kept.setdefault(name, plain(df, name)))
+    passage = " ".join(f"p{k}" for k in range(70))
+    copies = {i: " ".join(f"c{i % 10}w{k}" for k in range(120)) for i in range(30)}
+    docs = copies | {100 + i: f"{' '.join(f'a{i}x{k}' for k in range(60))} {passage} {' '.join(f'b{i}x{k}' for k in range(60))}" for i in range(2)}
+    got = {r["doc_id"]: tuple(r)[1:] for r in substring_dedup.deduplicated(frame(spark, list(docs.items())).repartition(3)).collect()}
+    assert got == removed_plainly(docs, 50)
+    assert {r["doc_id"] for r in kept["pieces"].collect()} == {100, 101}
